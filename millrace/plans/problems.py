@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import units
+from millrace.functions.nulls import norm_id
+from millrace.operators import compaction, heavy_keys, strict_parse, units
 from millrace.session import table
 
 
@@ -15,4 +16,73 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return molar.select("measurement_id", F.round(F.col("p") * 100).cast("int").alias("p_centi"))
 
 
-QUERIES = {"p1_found": p1_found}
+#: Columns of a pose that say where it lies, not what it is.
+PLACE = ("pose_id", "source_file", "block_start", "block_end", "docked_at")
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> compaction.Compacted:
+    poses = table(spark, sf_dir, "poses")
+    record = {c: norm_text(c) if c in ("protein_id", "ligand_id") else F.col(c) for c in poses.columns if c not in PLACE}
+    return compaction.compact(poses, "source_file", "pose_id", record)
+
+
+def norm_text(c: str):
+    """Trimmed and upper case; NULL stays NULL and blank stays blank."""
+    return F.when(F.col(c).isNotNull(), F.coalesce(norm_id(c), F.lit("")))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compacted(spark, sf_dir).repeats
+
+
+def p3_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files that were written: one row per bin."""
+    return _compacted(spark, sf_dir).bins
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measurements = table(spark, sf_dir, "measurements")
+    return heavy_keys.heavy_keys(heavy_keys.assay_gene_profile(measurements), measurements.count(), 0.04)
+
+
+def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, compounds, outcomes and exact quartiles per assay and gene."""
+    return heavy_keys.assay_gene_profile(table(spark, sf_dir, "measurements"), (0.25, 0.5, 0.75))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    atoms = strict_parse.parse_atoms(table(spark, sf_dir, "pqr_lines"))
+    readings = strict_parse.parse_readings(table(spark, sf_dir, "assay_lines"))
+    return strict_parse.failures(atoms).unionByName(strict_parse.failures(readings))
+
+
+def p6_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strict_parse.valid_rows(strict_parse.parse_atoms(table(spark, sf_dir, "pqr_lines")))
+
+
+def p6_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strict_parse.valid_rows(strict_parse.parse_readings(table(spark, sf_dir, "assay_lines")))
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p3_found": p3_found,
+    "p3_bins": p3_bins,
+    "p4_found": p4_found,
+    "p4_profile": p4_profile,
+    "p6_found": p6_found,
+    "p6_atoms": p6_atoms,
+    "p6_readings": p6_readings,
+}
+
+_INT_KEY = "try_cast(nullif(regexp_extract(trim({c}), '^(?:[A-Za-z][A-Za-z _.-]*[:#=]?\\s*)?([+-]?[0-9]+)(?:\\.0*)?$', 1), '') AS bigint)"
+
+ORACLE = {
+    "p3_found": """
+        SELECT pose_id FROM (SELECT pose_id, min(pose_id) OVER (PARTITION BY upper(trim(protein_id)), upper(trim(ligand_id)), UniqueID, conformer_idx, pose_rank, SMILES, n_atoms,
+          Vina_affinity, CNNscore, CNNaffinity, CNN_VS, CNNaffinity_variance, Energy) AS first_id FROM poses) WHERE pose_id > first_id""",
+    "p4_found": " UNION ALL ".join(
+        f"SELECT '{c}' AS key_field, k AS key_value FROM (SELECT {_INT_KEY.format(c=c)} AS k, count(*) AS n FROM measurements GROUP BY 1) WHERE k IS NOT NULL AND n > 0.04 * (SELECT count(*) FROM measurements)"
+        for c in ("aid", "target_geneid")
+    ),
+}

@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +70,20 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends the package to the executors, unless PYTHONPATH or an installation gives it to them."""
+    root = Path(__file__).resolve().parent
+    context = spark.sparkContext
+    on_path = str(root.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or root.parent.name == "site-packages"
+    if on_path or getattr(context, "_millrace_shipped", False):
+        return spark
+    folder = tempfile.mkdtemp(prefix="millrace-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/millrace.zip", "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(f"{folder}/millrace.zip")
+    context._millrace_shipped = True
+    return spark
