@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from millrace.functions.ranks import rank_within
 from millrace.session import cut, fresh_path
 
-#: Sizes are packed in steps of this part of a bin.
-STEPS = 256
+#: Sizes are rounded up to this many classes between a size and its double (4.4 % at most).
+CLASSES = 16
 
 
 class VerificationError(RuntimeError):
@@ -34,11 +34,11 @@ class Compacted:
     repeats: DataFrame
 
 
-def first_fit_decreasing(counts: dict[int, int], steps: int = STEPS) -> list[tuple[int, int, int, int]]:
+def first_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int]]:
     """FFD over sizes with multiplicities: ``(size, first rank, last rank, bin)``.
 
     Equal bins are kept as runs, so the work follows the number of distinct
-    sizes and runs, not of files.  A size over ``steps`` takes a bin of its own.
+    sizes and runs, not of files.  A size over ``capacity`` takes a bin of its own.
     """
     runs: list[list[int]] = []  # [bins, room, first bin], in order of opening
     out: list[tuple[int, int, int, int]] = []
@@ -69,16 +69,16 @@ def first_fit_decreasing(counts: dict[int, int], steps: int = STEPS) -> list[tup
                 new.append([run[0] - used, run[1], run[2] + used])
         runs = new
         if left:
-            each = max(1, steps // size) if size else left
+            each = max(1, capacity // size) if size else left
             full, rest = divmod(left, each)
             for b in range(full + bool(rest)):
                 n = each if b < full else rest
                 out.append((size, rank, rank + n - 1, opened + b))
                 rank += n
             if full:
-                runs.append([full, max(0, steps - each * size), opened])
+                runs.append([full, max(0, capacity - each * size), opened])
             if rest:
-                runs.append([1, max(0, steps - rest * size), opened + full])
+                runs.append([1, max(0, capacity - rest * size), opened + full])
             opened += full + bool(rest)
     return out
 
@@ -107,17 +107,18 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def pack(files: DataFrame, target_bytes: int) -> DataFrame:
-    """``files`` with ``bin``: first-fit decreasing by size, in steps of ``target_bytes / 256``.
+    """``files`` with ``bin``: first-fit decreasing by size class, up to ``target_bytes`` a bin.
 
-    The driver packs the histogram of sizes; files take their bin by their rank
-    among files of equal size, so their list never leaves the executors.
+    The driver packs the histogram of size classes (some hundred, whatever the
+    number of files); files take their bin by their rank among files of their
+    class, so their list never leaves the executors.
     """
-    step = max(1, target_bytes // STEPS)
-    sized = files.withColumn("size", F.least(F.lit(STEPS + 1), F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / step))).cast("int"))
-    counts = {r["size"]: r["count"] for r in sized.groupBy("size").count().collect()}  # at most 257 rows
-    plan = first_fit_decreasing(counts)
+    upper = F.ceil(F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1), F.col("n_bytes"))) * CLASSES) / CLASSES))
+    sized = cut(files.withColumn("size", F.least(F.lit(target_bytes + 1), F.greatest(F.lit(1), upper)).cast("bigint")))
+    counts = {r["size"]: r["count"] for r in sized.groupBy("size").count().collect()}
+    plan = first_fit_decreasing(counts, target_bytes)
     spark = files.sparkSession
-    ranges = spark.createDataFrame(plan, "size int, first long, last long, bin long")
+    ranges = spark.createDataFrame(plan, "size long, first long, last long, bin long")
     places = ranges.select("size", F.explode(F.sequence("first", "last")).alias("rank"), "bin")
     return rank_within(sized, ["size"], ["file"]).join(places, ["size", "rank"]).drop("size", "rank")
 
