@@ -1,9 +1,9 @@
 """Lines into typed rows, with the lines that fail apart and their reasons.
 
 Blocks of lines are parsed in bulk by Arrow (one regular expression over the
-whole column, bulk casts).  A block that holds a line the fast path can't take
-is halved until such lines are alone; only those are diagnosed, strictly and one
-by one.  The fast path takes a subset of the valid lines, so the result doesn't
+whole block, bulk casts).  A block that holds a line the fast path can't take is
+halved, over the match it has already, until such lines are alone; only those
+are diagnosed, strictly and one by one.  The fast path takes a subset of the valid lines, so the result doesn't
 depend on how lines fall into blocks.
 """
 
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Lines of a block before it is halved.
-BLOCK = 512
+#: Lines of a block.
+BLOCK = 8192
 
 ATOM_FIELDS = (
     ("record", pa.string()),
@@ -53,13 +53,16 @@ READING_FIELDS = (
 HEADER = ("AID", "CID", "Activity Outcome", "Activity Name", "Activity Value", "Activity Qualifier", "Activity Unit", "Protein Accession", "Gene ID", "PMID")
 
 _DEC = r"[+-]?[0-9]+\.[0-9]+"
+#: a decimal behind another: apart, or touching with a minus
+_NEXT = r"(?:\s+[+-]?|-)[0-9]+\.[0-9]+"
 _FAST_ATOM = (
-    r"^(?P<record>ATOM|HETATM)\s+(?P<serial>[0-9]{1,18})\s+(?P<name>[^\s\"]+)\s+(?P<resname>[^\s\"]+)\s+(?P<chain>[A-Za-z])\s*(?P<resseq>-?[0-9]{1,18})(?P<icode>[A-Za-z]?)"
-    rf"\s+(?P<x>{_DEC})\s+(?P<y>{_DEC})\s+(?P<z>{_DEC})\s+(?P<charge>{_DEC})\s+(?P<radius>{_DEC})\s*$"
+    r"^(?P<record>ATOM|HETATM)\s+(?P<serial>[0-9]{1,18})\s+(?P<name>[^\s\"]+)\s+(?P<resname>[^\s\"]+)\s+(?P<chain>[A-Za-z0-9]\s+|[A-Za-z])?(?P<resseq>-?[0-9]{1,18})(?P<icode>[A-Za-z]?)"
+    rf"\s+(?P<x>{_DEC})(?P<y>{_NEXT})(?P<z>{_NEXT})(?P<charge>{_NEXT})(?P<radius>{_NEXT})\s*$"
 )
-_INT = r" *[+-]?[0-9]{0,18} *"
-_TXT = r"[^\t\"\r]*"
-_NUM = r" *(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]{1,2})?)? *"
+_INT = r"(?: *[+-]?[0-9]{0,18} *|\" *[+-]?[0-9]{0,18} *\")"
+_TXT = r"(?:[^\t\"\r][^\t\r]*|\"[^\t\"\r]*\")?"
+_DIGITS = r" *(?:[+-]?(?:[0-9]{1,18}\.?[0-9]{0,18}|\.[0-9]{1,18})(?:[eE][+-]?[0-9]{1,2})?)? *"
+_NUM = rf"(?:{_DIGITS}|\"{_DIGITS}\")"
 _FAST_READING = (
     rf"^(?P<aid>{_INT})\t(?P<cid>{_INT})\t(?P<activity_outcome>{_TXT})\t(?P<activity_name>{_TXT})\t(?P<activity_value>{_NUM})\t(?P<activity_qualifier>{_TXT})"
     rf"\t(?P<activity_unit>{_TXT})\t(?P<protein_accession>{_TXT})\t(?P<gene_id>{_INT})\t(?P<pmid>{_INT})\r?$"
@@ -80,52 +83,77 @@ class LineFormat:
     skip: Callable[[pa.Array], pa.Array]
     #: one line -> its values or the reason for its failure; None: neither
     strict: Callable[[str], tuple | str | None]
+    #: whether a field may stand between quotes
+    quoted: bool = False
 
 
-def bulk(lines: pa.Array, fmt: LineFormat) -> pa.StructArray:
-    """All lines by the fast path, typed; BlockError if any line doesn't fit."""
-    groups = pc.extract_regex(lines, fmt.fast)
+def typed(groups: pa.StructArray, fmt: LineFormat) -> pa.StructArray:
+    """The matched texts of a block as typed columns, by bulk casts; BlockError if any line doesn't fit."""
     if groups.null_count:
         raise BlockError
     out = []
     try:
         for name, kind in fmt.fields:
             text = pc.struct_field(groups, name)
+            if fmt.quoted:
+                text = pc.replace_substring_regex(text, r'^"([^"]*)"$', r"\1")
             if not pa.types.is_string(kind):
-                text = pc.utf8_trim_whitespace(text)
-                plus = pc.replace_substring_regex(text, r"^\+", "")
-                value = pc.cast(pc.if_else(pc.equal(plus, ""), pa.scalar(None, pa.string()), plus), kind)
+                bare = pc.replace_substring_regex(text, r"^\s*\+?|\s+$", "")
+                value = pc.cast(pc.if_else(pc.equal(bare, ""), pa.scalar(None, pa.string()), bare), kind)
                 if pa.types.is_floating(kind) and not pc.all(pc.is_finite(value), min_count=0).as_py():
                     raise BlockError
+            elif name in ("chain", "icode"):
+                bare = pc.utf8_trim_whitespace(text)
+                value = pc.if_else(pc.equal(bare, ""), pa.scalar(None, pa.string()), bare)
             else:
-                value = pc.if_else(pc.equal(text, ""), pa.scalar(None, pa.string()), text) if name in ("chain", "icode") else text
+                value = text
             out.append(value)
     except pa.ArrowInvalid as e:
         raise BlockError from e
     return pa.StructArray.from_arrays(out, names=[n for n, _ in fmt.fields])
 
 
-def bisect(lines: pa.Array, at: pa.Array, fmt: LineFormat) -> Iterator[tuple[pa.Array, list, list]]:
-    """Pieces ``(places, struct of values or None, reasons)`` of a block, halved around failing lines."""
-    if not len(lines):
+def bisect(groups: pa.StructArray, start: int, test: Callable[[pa.StructArray], object]) -> Iterator[tuple[int, int, object]]:
+    """``(first, past, result)`` of the pieces that pass ``test``, and ``(place, place + 1, None)`` of single lines that don't.
+
+    A block that fails is halved until the failing lines are alone.
+    """
+    if not len(groups):
         return
     try:
-        yield at, bulk(lines, fmt), []
-        return
+        yield start, start + len(groups), test(groups)
     except BlockError:
-        if len(lines) > 1:
-            half = len(lines) // 2
-            yield from bisect(lines[:half], at[:half], fmt)
-            yield from bisect(lines[half:], at[half:], fmt)
+        if len(groups) == 1:
+            yield start, start + 1, None
             return
-    said = fmt.strict(lines[0].as_py())
-    if said is None:
-        return
-    if isinstance(said, str):
-        yield at, None, [said]
-    else:
-        row = pa.array([dict(zip((n for n, _ in fmt.fields), said, strict=True))], pa.struct(list(fmt.fields)))
-        yield at, row, []
+        half = len(groups) // 2
+        yield from bisect(groups[:half], start, test)
+        yield from bisect(groups[half:], start + half, test)
+
+
+def _matched(groups: pa.StructArray) -> bool:
+    if groups.null_count:
+        raise BlockError
+    return True
+
+
+def parse_block(lines: pa.Array, fmt: LineFormat) -> Iterator[tuple[pa.Array, pa.StructArray | None, list[str]]]:
+    """``(places, rows or None, reasons)`` for a block of lines; places of lines that are neither are left out."""
+    groups = pc.extract_regex(lines, fmt.fast)
+    pieces = list(bisect(groups, 0, _matched))
+    alone = [a for a, _, ok in pieces if ok is None]
+    clean = pa.array([i for a, b, ok in pieces if ok for i in range(a, b)], pa.int64())
+    for a, b, rows in bisect(pc.take(groups, clean), 0, lambda g: typed(g, fmt)):
+        if rows is None:
+            alone += clean[a:b].to_pylist()
+        else:
+            yield clean[a:b], rows, []
+    said = [(i, fmt.strict(lines[i].as_py())) for i in alone]
+    names = [n for n, _ in fmt.fields]
+    if rows := [(i, dict(zip(names, x, strict=True))) for i, x in said if isinstance(x, tuple)]:
+        yield pa.array([i for i, _ in rows], pa.int64()), pa.array([r for _, r in rows], pa.struct(list(fmt.fields))), []
+    if why := [(i, x) for i, x in said if isinstance(x, str)]:
+        yield pa.array([i for i, _ in why], pa.int64()), None, [x for _, x in why]
 
 
 # ------------------------------------------------------------------ atom lines
@@ -172,7 +200,7 @@ def strict_atom(line: str) -> tuple | str | None:
         if _is_chain(a) and whole:
             return "columns"  # chain and number, but a later field is missing
         if len(a) == 1 and a.isalpha():
-            return "columns" if not _DECIMAL.match(b) or b.split(".")[-1] == "" else "columns"
+            return "columns"  # a chain, but no number behind it
         if (m := _FUSED.match(a)) is not None:
             chain, seq, icode = m[1], m[2], m[3]
         elif (m := _RESSEQ.match(a)) is not None:
@@ -188,7 +216,8 @@ def strict_atom(line: str) -> tuple | str | None:
     serial, resseq = int(head[1]), int(seq)
     if not all(map(math.isfinite, values)) or max(abs(serial), abs(resseq)) >= 2**63:
         return "value"
-    return (head[0], serial, head[2], head[3], chain, resseq, icode or None, *values)
+    name, resname = (t[1:-1] if len(t) > 2 and t[0] == t[-1] == '"' else t for t in head[2:4])
+    return (head[0], serial, name, resname, chain, resseq, icode or None, *values)
 
 
 def _skip_atom(lines: pa.Array) -> pa.Array:
@@ -266,7 +295,7 @@ def _skip_reading(lines: pa.Array) -> pa.Array:
 
 
 ATOMS = LineFormat(ATOM_FIELDS, _FAST_ATOM, _skip_atom, strict_atom)
-READINGS = LineFormat(READING_FIELDS, _FAST_READING, _skip_reading, strict_reading)
+READINGS = LineFormat(READING_FIELDS, _FAST_READING, _skip_reading, strict_reading, True)
 
 
 def parse_lines(lines: DataFrame, fmt: LineFormat, id_col: str = "line_id", line_col: str = "line") -> DataFrame:
@@ -287,17 +316,13 @@ def parse_lines(lines: DataFrame, fmt: LineFormat, id_col: str = "line_id", line
             # left for parsing: neither NULL nor of another kind; a header that is no exact header is left to the strict parser
             use = pc.and_kleene(pc.is_valid(text), pc.invert(fmt.skip(text)))
             at = pc.indices_nonzero(pc.fill_null(use, False))
-            text = pc.take(text, at)
+            ids, text = pc.take(ids, at), pc.take(text, at)
             for start in range(0, len(at), BLOCK):
-                places, rows, reasons = [], [], []
-                for where, values, why in bisect(text[start : start + BLOCK], at[start : start + BLOCK], fmt):
-                    places.append(where)
-                    rows.append(values if values is not None else pa.nulls(len(where), row_type))
-                    reasons.append(pa.array(why, pa.string()) if why else pa.nulls(len(where), pa.string()))
-                if places:
-                    taken = pc.take(ids, pa.concat_arrays(places))
-                    row = pa.concat_arrays([r.cast(row_type) for r in rows])
-                    yield pa.RecordBatch.from_arrays([taken, pa.concat_arrays(reasons), row], names=[id_col, "reason", "row"])
+                part, keys = text[start : start + BLOCK], ids[start : start + BLOCK]
+                for places, rows, why in parse_block(part, fmt):
+                    row = rows.cast(row_type) if rows is not None else pa.nulls(len(places), row_type)
+                    reason = pa.array(why, pa.string()) if why else pa.nulls(len(places), pa.string())
+                    yield pa.RecordBatch.from_arrays([pc.take(keys, places), reason, row], names=[id_col, "reason", "row"])
 
     return lines.select(id_col, line_col).mapInArrow(run, schema)
 
