@@ -21,6 +21,10 @@ from millrace.session import cut, fresh_path
 CLASSES = 16
 
 
+#: A table of at most so many rows (files or ids) is broadcast; a larger one meets the rows by shuffle.
+BROADCAST_ROWS = 250_000
+
+
 class VerificationError(RuntimeError):
     """Rewritten rows differ from the manifest; nothing was committed."""
 
@@ -94,6 +98,11 @@ def row_checksum(df: DataFrame) -> Column:
     return F.xxhash64(*marked).cast("decimal(38,0)")
 
 
+def _if_small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast where its counted size is small; the caller has checkpointed it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def manifest(df: DataFrame, file_col: str) -> DataFrame:
     """``file, n_rows, n_bytes, checksum`` of each source file, frozen in the shared folder.  A NULL file is a file of its own."""
     sized = df.select(F.col(file_col).alias("file"), row_bytes(df).alias("b"), row_checksum(df).alias("h"))
@@ -135,15 +144,13 @@ def repeated_rows(df: DataFrame, id_col: str, record: dict[str, Column]) -> Data
     rows = df.select(F.col(id_col).alias("__id"), *(c.alias(n) for n, c in fields.items()))
     nulls = F.concat_ws("", *(F.when(F.col(n).isNull(), "n").otherwise("v") for n in fields))
     rows = rows.withColumn("__h", F.xxhash64(*(F.col(n) for n in fields), nulls))
-    again = rows.groupBy("__h").agg(F.count("*").alias("__n")).where("__n > 1").select("__h")
+    again = cut(rows.groupBy("__h").agg(F.count("*").alias("__n")).where("__n > 1").select("__h"))
+    candidates = rows.join(_if_small(again), "__h", "left_semi")
+    firsts = cut(candidates.groupBy("__h", *fields).agg(F.min("__id").alias("__first"), F.count("*").alias("__n")).where("__n > 1").drop("__n"))
     salts = 8
-    candidates = rows.withColumn("__salt", F.pmod(F.xxhash64("__id"), F.lit(salts)).cast("int")).join(
-        again.withColumn("__salt", F.explode(F.array(*(F.lit(i) for i in range(salts))))), ["__h", "__salt"], "left_semi"
-    )
-    firsts = candidates.groupBy("__h", *fields).agg(F.min("__id").alias("__first"))
     firsts = firsts.select(F.col("__h").alias("__fh"), *(F.col(n).alias(f"__f_{n}") for n in fields), "__first")
     firsts = firsts.withColumn("__fs", F.explode(F.array(*(F.lit(i) for i in range(salts)))))
-    same = (F.col("__h") == F.col("__fh")) & (F.col("__salt") == F.col("__fs")) & (F.col("__id") > F.col("__first"))
+    same = (F.col("__h") == F.col("__fh")) & (F.pmod(F.xxhash64("__id"), F.lit(salts)) == F.col("__fs")) & (F.col("__id") > F.col("__first"))
     for n in fields:
         same = same & F.col(n).eqNullSafe(F.col(f"__f_{n}"))
     return candidates.join(firsts, same).select(F.col("__id").alias(id_col))
@@ -166,8 +173,10 @@ def compact(
     packed = cut(pack(frozen, target_bytes))
     repeats = cut(repeated_rows(df, id_col, record)) if record else df.select(id_col).limit(0)
     where = packed.select(F.col("file").alias("__file"), "bin", F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / target_bytes)).cast("int").alias("__parts"))
+    where = F.broadcast(where) if packed.count() <= BROADCAST_ROWS else where
     placed = df.join(where, F.col(file_col).eqNullSafe(F.col("__file"))).drop("__file")
     dropped = repeats.select(F.col(id_col).alias("__gone"), F.lit(True).alias("__repeat"))
+    dropped = F.broadcast(dropped) if repeats.count() <= BROADCAST_ROWS else dropped
     placed = placed.join(dropped, F.col(id_col) == F.col("__gone"), "left").drop("__gone")
     keep = F.col("__repeat").isNull()
     staging, final = fresh_path(spark, "staging"), path or fresh_path(spark, "compacted")
