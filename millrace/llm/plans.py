@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.nulls import blank_to_null
-from millrace.llm import bytebpe, similar, splits, topn
+from millrace.llm import bytebpe, packing, similar, splits, stuffing, topn
 from millrace.session import table
 
 
@@ -43,6 +43,20 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.token_ids(table(spark, sf_dir, "documents"))
 
 
+#: Tokens of a container.
+CAPACITY = 2048
+
+
+def p9_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container of every document or piece of one."""
+    sizes = bytebpe.token_counts(table(spark, sf_dir, "documents"))
+    return packing.pack_items(sizes, "doc_id", "n_tokens", CAPACITY)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stuffing.stuffed_pages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_splits": p2_splits,
@@ -50,6 +64,8 @@ QUERIES = {
     "p5_clusters": p5_clusters,
     "p7_found": p7_found,
     "p8_ids": p8_ids,
+    "p9_packed": p9_packed,
+    "p10_found": p10_found,
 }
 
 ORACLE = {

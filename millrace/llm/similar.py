@@ -10,6 +10,7 @@ split around the members of most links.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,9 @@ from millrace.llm.components import connected_components, join_unique
 from millrace.session import cut
 
 #: Characters of a shingle; bands and rows of the signature; least Jaccard of a link.
-SHINGLE, BANDS, ROWS, THRESHOLD = 5, 48, 5, 0.6
+SHINGLE, BANDS, ROWS, THRESHOLD = 5, 48, 5, 0.55
+#: Part of a skeleton that may differ: beyond it two structures share rings and links, but are no variants.
+EDITS = 0.085
 #: A group is loose where a member has fewer than this part of the possible links.
 LOOSE = 0.5
 #: Items of a bucket that are paired in one task; larger buckets are paired block by block.
@@ -52,22 +55,37 @@ def jaccard(a: set[str], b: set[str]) -> float:
     return len(a & b) / len(a | b)
 
 
-_PRIME = np.uint64((1 << 61) - 1)
-_SEED = np.random.default_rng(20240601).integers(1, 1 << 31, size=(2, BANDS * ROWS), dtype=np.uint64)
+_SEED = np.random.default_rng(20240601).integers(1, 1 << 63, size=(2, BANDS * ROWS), dtype=np.uint64)
+_SEED[0] |= np.uint64(1)
 
 
 def signature(text: str) -> np.ndarray:
-    """MinHash of the shingles (32-bit hashes, so that the products stay exact)."""
-    h = np.array([hash_text(s) for s in shingles(text)], dtype=np.uint64)
-    return ((h[:, None] * _SEED[0] + _SEED[1]) % _PRIME).min(axis=0)
-
-
-def hash_text(s: str) -> int:
-    """A 32-bit hash that is the same in every process."""
-    h = 2166136261
-    for b in s.encode():
-        h = ((h ^ b) * 16777619) & 0xFFFFFFFF
-    return h
+    """MinHash of the shingles: multiply-shift over 64 bits, of which the upper half is compared."""
+    h = np.array([zlib.crc32(s.encode()) for s in shingles(text)], dtype=np.uint64)
+    h = (h ^ (h >> np.uint64(15))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h[:, None] * _SEED[0] + _SEED[1]) >> np.uint64(32)).min(axis=0)
+
+
+def within_edits(a: str, b: str, share: float = EDITS) -> bool:
+    """Whether at most ``share`` of the longer text must be edited to get the other (banded edit distance)."""
+    if a == b:
+        return True
+    most = int(share * max(len(a), len(b)))
+    if abs(len(a) - len(b)) > most:
+        return False
+    far = most + 1
+    before = {j: j for j in range(min(len(b), most) + 1)}
+    for i, x in enumerate(a, 1):
+        row: dict[int, int] = {}
+        low = far
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            d = i if j == 0 else min(before.get(j, far) + 1, row.get(j - 1, far) + 1, before.get(j - 1, far) + (x != b[j - 1]))
+            row[j] = d
+            low = min(low, d)
+        if low > most:
+            return False
+        before = row
+    return before.get(len(b), far) <= most
 
 
 def skeletons(df: DataFrame, key: str, smiles: str) -> DataFrame:
@@ -114,7 +132,7 @@ def candidates(banded: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
-    """``a, b, similarity`` of the pairs whose exact Jaccard reaches the threshold."""
+    """``a, b, similarity`` of the pairs whose exact Jaccard reaches the threshold and whose texts differ little."""
     text = items.select("item", "skeleton")
     both = pairs.join(text.withColumnsRenamed({"item": "a", "skeleton": "sa"}), "a").join(text.withColumnsRenamed({"item": "b", "skeleton": "sb"}), "b")
 
@@ -125,7 +143,7 @@ def verify(pairs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
                 if s not in known:
                     known[s] = shingles(s)
             sim = np.array([jaccard(known[x], known[y]) for x, y in zip(d["sa"], d["sb"])], dtype=float)
-            ok = sim >= threshold
+            ok = np.array([v >= threshold and within_edits(x, y) for v, x, y in zip(sim, d["sa"], d["sb"])], dtype=bool)
             yield pd.DataFrame({"a": d["a"][ok], "b": d["b"][ok], "similarity": sim[ok]})
 
     return both.mapInPandas(run, "a long, b long, similarity double")
