@@ -72,7 +72,7 @@ ORACLE = {
     "p7_found": """
         SELECT pose_id, CAST(rn - 1 AS INTEGER) AS pair_rank FROM (
           SELECT pose_id, row_number() OVER (PARTITION BY upper(trim(protein_id)), upper(trim(ligand_id)) ORDER BY CNNscore DESC, pose_rank ASC NULLS LAST, pose_id ASC) AS rn
-          FROM poses WHERE CNNscore IS NOT NULL AND NOT isnan(CNNscore) AND trim(protein_id) <> '' AND trim(ligand_id) <> '') WHERE rn <= 5""",
+          FROM poses WHERE CNNscore IS NOT NULL AND CAST(CNNscore AS VARCHAR) <> 'nan' AND trim(protein_id) <> '' AND trim(ligand_id) <> '') WHERE rn <= 5""",
     "p2_found": """
         WITH RECURSIVE p AS (SELECT DISTINCT upper(trim(protein_id)) AS protein, upper(trim(ligand_id)) AS ligand FROM poses WHERE trim(protein_id) <> '' AND trim(ligand_id) <> ''),
         c AS (SELECT DISTINCT upper(trim(item_id)) AS ligand, cluster_id FROM cluster_labels WHERE cluster_id IS NOT NULL AND cluster_id <> -1),

@@ -22,7 +22,7 @@ from millrace.llm.components import connected_components, join_unique
 from millrace.session import cut
 
 #: Characters of a shingle; bands and rows of the signature; least Jaccard of a link.
-SHINGLE, BANDS, ROWS, THRESHOLD = 5, 48, 5, 0.55
+SHINGLE, BANDS, ROWS, THRESHOLD = 5, 56, 6, 0.55
 #: Part of a skeleton that may differ: beyond it two structures share rings and links, but are no variants.
 EDITS = 0.085
 #: A group is loose where a member has fewer than this part of the possible links.
@@ -70,7 +70,7 @@ def within_edits(a: str, b: str, share: float = EDITS) -> bool:
     """Whether at most ``share`` of the longer text must be edited to get the other (banded edit distance)."""
     if a == b:
         return True
-    most = int(share * max(len(a), len(b)))
+    most = int(share * max(len(a), len(b)) + 1e-9)
     if abs(len(a) - len(b)) > most:
         return False
     far = most + 1
@@ -100,7 +100,7 @@ def skeletons(df: DataFrame, key: str, smiles: str) -> DataFrame:
 
 
 def bands(items: DataFrame) -> DataFrame:
-    """``item, band``: one row per item and band; the band's number is part of its hash."""
+    """``item, size, band``: one row per item and band; the band's number is part of its hash, ``size`` is the length of the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mix = np.random.default_rng(7).integers(1, 1 << 62, size=ROWS, dtype=np.uint64) | np.uint64(1)
@@ -109,13 +109,14 @@ def bands(items: DataFrame) -> DataFrame:
                 continue
             sig = np.stack([signature(s) for s in b["skeleton"]]).reshape(len(b), BANDS, ROWS)
             h = ((sig ^ (sig >> np.uint64(29))) * mix).sum(axis=2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(BANDS, dtype=np.uint64)[None, :] * np.uint64(0xBF58476D1CE4E5B9)
-            yield pd.DataFrame({"item": np.repeat(b["item"].to_numpy(), BANDS), "band": h.astype(np.int64).ravel()})
+            size = b["skeleton"].str.len().to_numpy(dtype=np.int32)
+            yield pd.DataFrame({"item": np.repeat(b["item"].to_numpy(), BANDS), "size": np.repeat(size, BANDS), "band": h.astype(np.int64).ravel()})
 
-    return items.select("item", "skeleton").mapInPandas(run, "item long, band long")
+    return items.select("item", "skeleton").mapInPandas(run, "item long, size int, band long")
 
 
 def candidates(banded: DataFrame) -> DataFrame:
-    """``a, b`` (a < b): pairs of items that share a band, each once.
+    """``a, b`` (a < b): pairs of items that share a band, each once, whose lengths allow for few enough edits.
 
     Items of a bucket are numbered and cut into blocks of 256; pairs of blocks
     are the keys of an equi-join, so a bucket of any size is paired by many tasks.
@@ -125,9 +126,10 @@ def candidates(banded: DataFrame) -> DataFrame:
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("item"), n_blocks).cast("int")
     shared = shared.withColumn("blocks", n_blocks).withColumn("block", block)
-    left = shared.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))).select("band", F.col("block").alias("p"), F.col("other").alias("q"), F.col("item").alias("x"), F.lit(0).alias("side"))
-    right = shared.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block")))).select("band", F.col("other").alias("p"), F.col("block").alias("q"), F.col("item").alias("y"))
-    pairs = left.drop("side").join(right, ["band", "p", "q"]).where((F.col("p") < F.col("q")) | (F.col("x") < F.col("y"))).where("x <> y")
+    left = shared.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))).select("band", F.col("block").alias("p"), F.col("other").alias("q"), F.col("item").alias("x"), F.col("size").alias("sx"))
+    right = shared.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block")))).select("band", F.col("other").alias("p"), F.col("block").alias("q"), F.col("item").alias("y"), F.col("size").alias("sy"))
+    pairs = left.join(right, ["band", "p", "q"]).where((F.col("p") < F.col("q")) | (F.col("x") < F.col("y"))).where("x <> y")
+    pairs = pairs.where(F.abs(F.col("sx") - F.col("sy")) <= F.floor(F.lit(EDITS) * F.greatest("sx", "sy") + 1e-9))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
