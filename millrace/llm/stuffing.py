@@ -10,6 +10,7 @@ stuffed where these characters are most of it.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ SHARE, LEAST_CHARS, LEAST_TOKENS, LEAST_REPEAT = 0.4, 60, 2, 8
 
 #: Tokens that make a list by their kind; least items with a count behind them.
 LISTED, LEAST_ITEMS = ("<url>", "<tag>", "<code>", "<count>"), 6
+KINDS = {"url": "<url>", "hash": "<tag>", "code": "<code>", "count": "<count>", "number": "<n>"}
 
 #: Letters of other scripts and digits that stand in for Latin letters.
 LOOKALIKES = str.maketrans("аеорсухікмтвнАЕОРСУХІКМТВНοαερτυνιΟΑΕΡΤΥΝΙ", "aeopcyxikmtbhAEOPCYXIKMTBHoaeptuviOAEPTYNI")
@@ -44,22 +46,35 @@ _CJK_CLAUSE, _CJK_GAP = regex.compile(r"[的了是被没]"), regex.compile(r"\p{
 _INVISIBLE = regex.compile(r"[\p{Cf}­͏ᅟᅠ឴឵ㅤ]+")
 _URL = regex.compile(r"(?:https?://|www\.)[^\s<>\"'()\[\]|,;»]+|\b[\w-]+(?:\.[\w-]+)*\.(?:example|com|net|org|info|biz|shop|io|de|fr|es|cn|test)\b(?:/[^\s<>\"'()\[\]|,;»]*)?", regex.I)
 _TOKEN = regex.compile(rf"(?P<url>{_URL.pattern})|(?P<hash>#[\w]+)|(?P<code>\b[a-z]{{2,6}}-\d+\b)|(?P<count>\(\d+\))|(?P<number>\d+(?:[.,:]\d+)*(?!\p{{L}}))|(?P<han>[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])|(?P<word>[\p{{L}}\p{{M}}\p{{N}}][\p{{L}}\p{{M}}\p{{N}}'’_]*)", regex.I)
-_SENTENCE = regex.compile(r"(?:[^.!?。！？]|[.!?](?![\s\"'”’).!?]|$))++(?:[.!?。！？]+[\"'”’)]*)?|[.!?。！？]+")
-#: Lines that are records of some kind.
-_RECORDS = regex.compile(
-    r"""^\s*\[?\d{1,4}[-:./]\d\d[-:./]\d\d                     # time stamps
-      | ^\s*(?:ATOM|HETATM|REMARK|TER|END|SEQRES)\b
-      | ^>\s*\S+$ | ^[A-Z*-]{20,}$                             # sequences
-      | (?:^|\t)[^\t]*\t[^\t]*\t                               # table rows
-      | ^\s*\[\d+\]\s | ^\s*references\s*$                     # references
-      | ^\s*[\w.-]+\s*[:=]\s*[\w.+-]*\s*$ | ^\s*\#\s           # settings and comments
-      | (?:^|\s)(?!\S*://)(?!\S*\.example)[\w.-]*/[\w./-]*\.[a-z]\w{1,5}\s*$  # file listings
-      | ^\s*\d+\s+\S*/\S+\s*$
-      | ^(?=\S*[0-9=\#()\[\]])(?:[BCNOSPFIHKbcnosp]|Cl|Br|Na|Si|[0-9=\#()\[\]@+\-/\\.%lri])+(?:\s+[\w.-]+)?\s*$   # structures
-    """,
-    regex.X | regex.I,
-)
-_STRUCTURE = regex.compile(r"^(?:Cl|Br|\[[^\]]*\]|[BCNOSPFIHbcnosp0-9=#()@+\-/\\.%])+$")
+_SENTENCE = re.compile(r"(?:[^.!?。！？]|[.!?](?![\s\"'”’).!?]|$))++(?:[.!?。！？]+[\"'”’)]*)?|[.!?。！？]+")
+_WORDS, _DOTTED = re.compile(r"[^\W_][^\W_]*(?:['’][^\W\d_]+)?"), re.compile(r"://|\w\.[A-Za-z]|#\w")
+#: Record lines that a pattern at their start tells: time stamps, references, settings, comments, numbered paths.
+_STAMP, _REFERENCE = re.compile(r"\[?\d{1,4}[-:./]\d\d[-:./]\d\d"), re.compile(r"\[\d+\]\s")
+_SETTING, _NUMBERED_PATH = re.compile(r"[\w.-]+\s*[:=]\s*[\w.+-]*$"), re.compile(r"\d+\s+\S*/\S+$")
+_FILE = re.compile(r"[\w.-]*/[\w./-]*\.[A-Za-z]\w{1,5}$")
+_STRUCTURE = re.compile(r"(?:[BCNOSPFIHKbcnosp]|Cl|Br|Na|Si|[0-9=#()\[\]@+\-/\\.%lri])+$")
+_ATOM_WORDS = frozenset("ATOM HETATM REMARK TER END SEQRES".split())
+
+
+def is_record(line: str) -> bool:
+    """Whether a line is a record of a log, table, listing, structure, sequence, setting or reference."""
+    if line.count("\t") >= 2:
+        return True
+    s = line.strip()
+    first = s[0]
+    words = s.split(None, 2)
+    head, last = words[0], s.rsplit(None, 1)[-1]
+    if first in "[0123456789" and (_STAMP.match(s) or _REFERENCE.match(s) or _NUMBERED_PATH.match(s) and "://" not in s):
+        return True
+    if head in _ATOM_WORDS or first == "#" and len(head) == 1 or s.lower() == "references":
+        return True
+    if len(words) == 1 and (first == ">" and len(s) > 1 or len(s) >= 20 and s.isascii() and s.isupper() and s.replace("*", "").replace("-", "").isalpha()):
+        return True
+    if (":" in s or "=" in s) and len(words) <= 3 and "://" not in s and _SETTING.match(s):
+        return True
+    if "/" in last and "://" not in last and ".example" not in last.lower() and _FILE.match(last):
+        return True
+    return len(words) <= 2 and any(c in "0123456789=#()[]" for c in head) and bool(_STRUCTURE.match(head)) and not head.isdigit()
 
 
 def plain(text: str) -> str:
@@ -68,18 +83,31 @@ def plain(text: str) -> str:
     return text.replace("\r\n", "\n").replace("\r", "\n")
 
 
-def word(text: str) -> str:
-    """A word as it is compared: lower case, lookalikes and digits inside letters undone."""
+def _word(text: str) -> str:
     if not text.isascii():
         latin = text.translate(LOOKALIKES)
         if latin.isascii() or any("a" <= c.lower() <= "z" for c in text):
             text = latin
     text = text.lower()
-    if any(c in DIGIT_LETTERS for c in text) and sum(map(str.isalpha, text)) > len(text) / 2:
+    if not text.isalpha() and sum(map(str.isalpha, text)) > len(text) / 2:
         text = "".join(DIGIT_LETTERS.get(c, c) for c in text)
     return text
 
 
+#: Words seen by a worker, as compared; emptied when full.
+_MEMO: dict[str, str] = {}
+
+
+def word(text: str) -> str:
+    """A word as it is compared: lower case, lookalikes and digits inside letters undone."""
+    known = _MEMO.get(text)
+    if known is None:
+        if len(_MEMO) > 200_000:
+            _MEMO.clear()
+        known = _MEMO[text] = _word(text)
+    return known
+
+
 @dataclass
 class Automaton:
     """Suffix automaton of a token sequence; ``repeats[i]`` is the length of the longest substring ending at ``i`` that occurs twice."""
@@ -126,59 +154,71 @@ class Automaton:
         return cls([longest[s] for s in prefix])
 
 
-def _is_clause(text: str, words: list[str]) -> bool:
-    """A sentence rather than a list: enough different words, a function word, few links."""
-    if han := len(_CJK.findall(text)):
+def is_clause(text: str) -> bool:
+    """Whether a sentence is a clause rather than a list: it ends like one, has enough different words, function words
+    among them, and few links."""
+    if text.rstrip("\"'”’) \t")[-1:] not in tuple(".!?。！？"):
+        return False
+    if not text.isascii() and (han := len(_CJK.findall(text))):
         return han >= 6 and bool(_CJK_CLAUSE.search(text)) and len(_CJK_GAP.findall(text)) <= han / 12
-    if len(words) < 4:
+    links = 0
+    if _DOTTED.search(text):
+        bare = _URL.sub(" ", text)
+        links = len(_URL.findall(text)) + bare.count("#")
+        text = bare
+    words = [word(w) for w in _WORDS.findall(text)]
+    words = [w for w in words if not w[0].isdigit()]
+    if len(words) < 4 or links > len(words) / 2:
         return False
     known = [w for w in words if w in FUNCTION_WORDS]
     return len(known) >= len(words) / 6 and any(w not in JOINING for w in known) and len(set(words)) > len(words) / 2
 
 
-def stuffed_share(text: str | None) -> tuple[float, int]:
-    """Part of the page's characters that repeated substrings without clause structure cover, and their number.
+def _solid(text: str) -> int:
+    """Characters other than white space."""
+    return len("".join(text.split()))
+
 
-    NULL, empty and blank texts give (0, 0); the whole text is read, however long.
+def stuffed_share(text: str | None, least: float = 0.0) -> tuple[float, int]:
+    """Part of the page's characters that repeated substrings outside clauses and records cover, and their number.
+
+    The whole text is read, however long.  NULL, empty and blank texts give
+    (0, 0), as do pages of which less than ``least`` lies outside clauses and
+    records: no repetition could bring them to that share, so their automaton
+    isn't needed.
     """
     if not text or not text.strip():
         return 0.0, 0
-    tokens: list[str] = []
-    weight: list[int] = []
-    free: list[bool] = []  # neither in a clause nor in a record
-    total = 0
+    parts: list[tuple[str, bool]] = []
+    total = loose = 0
     for line in plain(text).split("\n"):
-        size = sum(not c.isspace() for c in line)
+        size = _solid(line)
         if not size:
             continue
         total += size
-        record = bool(_RECORDS.search(line)) and not _URL.search(line[:12])
-        for m in [line] if record else _SENTENCE.findall(line):
-            found = list(_TOKEN.finditer(m))
-            if not found:
-                continue
-            kinds = [f.lastgroup for f in found]
-            words = [word(f[0]) for f, k in zip(found, kinds) if k in ("word", "han")]
-            ended = m.rstrip().rstrip("\"'”’)")[-1:] in tuple(".!?。！？")
-            links = sum(k in ("url", "hash", "code") for k in kinds)
-            clause = ended and links <= len(words) / 2 and _is_clause(m, words)
-            inside = 0
-            for f, k in zip(found, kinds):
-                tokens.append("<url>" if k == "url" else "<n>" if k == "number" else "<code>" if k == "code" else "<tag>" if k == "hash" else "<count>" if k == "count" else word(f[0]))
-                n = f.end() - f.start()
-                weight.append(n)
-                inside += n
-                free.append(not record and not clause)
-            # signs between tokens belong to the tokens, in proportion
-            extra = sum(not c.isspace() for c in m) - inside
-            if extra > 0 and inside:
-                start = len(weight) - len(found)
-                for i in range(start, len(weight)):
-                    weight[i] *= 1 + extra / inside
-    if not total:
-        return 0.0, 0
-    if not any(free):
+        if is_record(line):
+            parts.append((line, False))
+            continue
+        for m in _SENTENCE.findall(line):
+            free = not is_clause(m)
+            parts.append((m, free))
+            if free:
+                loose += _solid(m)
+    if not total or not loose or loose < least * total:
         return 0.0, 0
+    tokens: list[str] = []
+    weight: list[float] = []
+    free: list[bool] = []
+    for part, open_ in parts:
+        found = [(m.lastgroup, m[0]) for m in _TOKEN.finditer(part)]
+        inside = sum(len(x) for _, x in found)
+        if not inside:
+            continue
+        scale = _solid(part) / inside  # signs between tokens belong to the tokens, in proportion
+        for kind, x in found:
+            tokens.append(KINDS.get(kind) or word(x))
+            weight.append(len(x) * scale)
+            free.append(open_)
     repeats = Automaton.of(tokens).repeats
     covered = bytearray(len(tokens))
     upto = len(tokens)
@@ -202,12 +242,12 @@ def stuffed_share(text: str | None) -> tuple[float, int]:
     return chars / total, int(chars)
 
 
-def score_pages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, share, chars`` of every page; no shuffle.  Pages with a NULL, empty or blank text score 0."""
+def score_pages(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.0) -> DataFrame:
+    """``key, share, chars`` of every page (see ``stuffed_share``); no shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [stuffed_share(t) for t in b[text]]
+            got = [stuffed_share(t, least) for t in b[text]]
             yield pd.DataFrame({key: b[key], "share": [s for s, _ in got], "chars": [n for _, n in got]})
 
     schema = f"{key} {docs.schema[key].dataType.simpleString()}, share double, chars long"
@@ -216,4 +256,4 @@ def score_pages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 def stuffed_pages(docs: DataFrame, key: str = "doc_id", text: str = "text", share: float = SHARE) -> DataFrame:
     """Keys of the pages that are stuffed for the most part; reposts are pages of their own."""
-    return score_pages(docs, key, text).where((F.col("share") >= share) & (F.col("chars") >= LEAST_CHARS)).select(key)
+    return score_pages(docs, key, text, share).where((F.col("share") >= share) & (F.col("chars") >= LEAST_CHARS)).select(key)
