@@ -22,7 +22,7 @@ from millrace.llm.components import connected_components, join_unique
 from millrace.session import cut
 
 #: Characters of a shingle; bands and rows of the signature; least Jaccard of a link.
-SHINGLE, BANDS, ROWS, THRESHOLD = 5, 56, 6, 0.55
+SHINGLE, BANDS, ROWS, THRESHOLD = 5, 72, 6, 0.55
 #: Part of a skeleton that may differ: beyond it two structures share rings and links, but are no variants.
 EDITS = 0.085
 #: A group is loose where a member has fewer than this part of the possible links.
