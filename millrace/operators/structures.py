@@ -295,3 +295,14 @@ def repaired_mol2(lines: DataFrame, per: str = "source_file", order: str = "line
     bad = (section == "@<TRIPOS>ATOM") & ~F.col(line).startswith("@") & (F.size(parts) >= 6) & ~F.get(parts, F.lit(5)).rlike("^[A-Za-z]")
     fixed = F.concat_ws(" ", F.slice(parts, 1, 5), F.coalesce(guess_type(F.get(parts, F.lit(1))), F.get(parts, F.lit(5))), F.slice(parts, F.lit(7), F.greatest(F.lit(0), F.size(parts) - 6)))
     return lines.withColumn(line, F.when(bad, fixed).otherwise(F.col(line)))
+
+
+def restored_chains(lines: DataFrame, assigned: DataFrame, per: str = "source_file", order: str = "line_no", line: str = "line") -> DataFrame:
+    """Lines whose chain column is overwritten by the chain assigned to their residue run (``per, run, chain``)."""
+    c = F.col(line)
+    atoms = lines.where(is_atom(c)).select("*", F.substring(c, 22, 1).alias("__c"), F.substring(c, 23, 5).alias("__n"), F.trim(F.substring(c, 18, 3)).alias("__r"))
+    atoms = runs(atoms, per, order, ["__c", "__n", "__r"], "__run")
+    a = assigned.select(F.col(per).alias("__per"), F.col("run").alias("__of"), F.col("chain").alias("__chain"))
+    fixed = atoms.join(a, (F.col(per) == F.col("__per")) & (F.col("__run") == F.col("__of")), "left")
+    fixed = fixed.withColumn(line, F.when(F.col("__chain").isNotNull(), F.overlay(c, F.col("__chain"), F.lit(22), F.lit(1))).otherwise(c)).select(*lines.columns)
+    return fixed.unionByName(lines.where(~F.coalesce(is_atom(c), F.lit(False))))
