@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.nulls import blank_to_null
 from millrace.llm import bytebpe, packing, similar, splits, stuffing, topn
-from millrace.session import table
+from millrace.session import spread, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,11 +36,16 @@ def p5_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topn.top_poses(table(spark, sf_dir, "poses"))
+    poses = table(spark, sf_dir, "poses").select("pose_id", "protein_id", "ligand_id", "CNNscore", "pose_rank")
+    return topn.top_poses(spread(poses, "pose_id"))
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bytebpe.token_ids(table(spark, sf_dir, "documents"))
+    return bytebpe.token_ids(_texts(spark, sf_dir))
 
 
 #: Tokens of a container.
@@ -49,12 +54,12 @@ CAPACITY = 2048
 
 def p9_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Container of every document or piece of one."""
-    sizes = bytebpe.token_counts(table(spark, sf_dir, "documents"))
+    sizes = bytebpe.token_counts(_texts(spark, sf_dir))
     return packing.pack_items(sizes, "doc_id", "n_tokens", CAPACITY)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stuffing.stuffed_pages(table(spark, sf_dir, "documents"))
+    return stuffing.stuffed_pages(_texts(spark, sf_dir))
 
 
 QUERIES = {

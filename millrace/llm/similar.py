@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected_components, join_unique
-from millrace.session import cut
+from millrace.session import cut, spread
 
 #: Characters of a shingle; bands and rows of the signature; least Jaccard of a link.
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 72, 6, 0.55
@@ -112,7 +112,7 @@ def bands(items: DataFrame) -> DataFrame:
             size = b["skeleton"].str.len().to_numpy(dtype=np.int32)
             yield pd.DataFrame({"item": np.repeat(b["item"].to_numpy(), BANDS), "size": np.repeat(size, BANDS), "band": h.astype(np.int64).ravel()})
 
-    return items.select("item", "skeleton").mapInPandas(run, "item long, size int, band long")
+    return spread(items.select("item", "skeleton"), "item").mapInPandas(run, "item long, size int, band long")
 
 
 def candidates(banded: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def verify(pairs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
             ok = np.array([v >= threshold and within_edits(x, y) for v, x, y in zip(sim, d["sa"], d["sb"])], dtype=bool)
             yield pd.DataFrame({"a": d["a"][ok], "b": d["b"][ok], "similarity": sim[ok]})
 
-    return both.mapInPandas(run, "a long, b long, similarity double")
+    return spread(both, "a", "b").mapInPandas(run, "a long, b long, similarity double")
 
 
 def split_loose(members: DataFrame, links: DataFrame, loose: float = LOOSE) -> DataFrame:
