@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.nulls import col, lenient_double, norm_outcome, strip
-from millrace.session import cut
+from millrace.session import cut, spread, stored
 
 #: Rows of keys a broadcast may hold; beyond it the keys are joined by salted shuffle.
 BROADCAST_KEYS = 50_000
@@ -139,7 +139,9 @@ def assay_gene_profile(measurements: DataFrame, probs: Sequence[float] = (0.5,))
     outcome = norm_outcome("outcome")
     value = lenient_double("activity_value")
     value = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
-    rows = long_keys(measurements, ("aid", "target_geneid"), F.col("cid"), outcome.alias("o"), value.alias("value"))
+    slim = spread(measurements.select("aid", "target_geneid", "cid", "outcome", "activity_value"), "aid", "target_geneid", "cid", "activity_value")
+    # read once: every round of refinement scans these five columns and not the text
+    rows = stored(long_keys(slim, ("aid", "target_geneid"), F.col("cid"), outcome.alias("o"), value.alias("value")), "key-rows")
     counts = {f"n_{o}": F.col("o") == o for o in ("active", "inactive", "inconclusive", "unspecified")}
     profile = cut(key_profile(rows, "cid", counts, "value"))
     out = profile.drop("lo", "hi")

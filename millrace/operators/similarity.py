@@ -12,6 +12,21 @@ from pyspark.sql import functions as F
 from millrace.session import cut
 
 
+#: Bit sets with all bits below this are compared as 64-bit words.
+DENSE_BITS = 8192
+
+
+def _words(bits: str):  # noqa: ANN202
+    """Words of 64 bits; the array ends with the highest bit's word."""
+    count = F.expr(f"cast(array_max({bits}) div 64 as int)")
+    return F.transform(F.sequence(F.lit(0), count), lambda w: F.aggregate(F.filter(bits, lambda b: F.floor(b / 64) == w), F.lit(0).cast("bigint"), lambda s, b: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (b % 64).cast("int")))))
+
+
+def _shared_words(a: str, b: str):  # noqa: ANN202
+    both = F.zip_with(a, b, lambda x, y: F.bit_count(F.coalesce(x.bitwiseAND(y), F.lit(0).cast("bigint"))))
+    return F.aggregate(both, F.lit(0), lambda s, n: s + n)
+
+
 def tanimoto_edges(items: DataFrame, floor: float, item: str = "item", bits: str = "bits") -> DataFrame:
     """``i, j, sim`` (j < i) of all pairs with similarity of at least ``floor``.
 
@@ -32,10 +47,14 @@ def tanimoto_edges(items: DataFrame, floor: float, item: str = "item", bits: str
     a, b = (prefix.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), "bit") for x in ("i", "j"))
     small, large = F.least("ni", "nj"), F.greatest("ni", "nj")
     pairs = a.join(b, "bit").where("j < i").where(small >= F.lit(floor) * large - 1e-9).select("i", "j").distinct()
-    x, y = (rows.select(F.col("id").alias(k), F.col("bits").alias(f"b{k}")) for k in ("i", "j"))
-    both = F.size(F.array_intersect("bi", "bj"))
-    sim = both / (F.size("bi") + F.size("bj") - both)
-    return pairs.join(x, "i").join(y, "j").select("i", "j", sim.alias("sim")).where(1.0 - F.col("sim") <= 1.0 - floor)
+    top = rows.agg(F.max(F.array_max("bits"))).first()[0]
+    dense = top is not None and top < DENSE_BITS
+    held = _words("bits") if dense else F.col("bits")
+    x, y = (rows.select(F.col("id").alias(k), held.alias(f"b{k}"), F.size("bits").alias(f"s{k}")) for k in ("i", "j"))
+    both = _shared_words("bi", "bj") if dense else F.size(F.array_intersect("bi", "bj"))
+    sim = F.col("both") / (F.col("si") + F.col("sj") - F.col("both"))
+    out = pairs.join(x, "i").join(y, "j").select("i", "j", "si", "sj", both.alias("both"))
+    return out.select("i", "j", sim.alias("sim")).where(1.0 - F.col("sim") <= 1.0 - floor)
 
 
 def butina(items: DataFrame, edges: DataFrame, start: int = 0, item: str = "item") -> DataFrame:
@@ -46,7 +65,9 @@ def butina(items: DataFrame, edges: DataFrame, start: int = 0, item: str = "item
     decides at once every item whose undecided neighbours all have lower
     priority; members join their neighbour centroid of highest priority.
     """
-    both = edges.select(F.col("i").alias("a"), F.col("j").alias("b")).unionByName(edges.select(F.col("j").alias("a"), F.col("i").alias("b"))).distinct()
+    edges = cut(edges.select("i", "j"))
+    both = edges.select(F.col("i").alias("a"), F.col("j").alias("b")).unionByName(edges.select(F.col("j").alias("a"), F.col("i").alias("b")))
+    both = cut(both.distinct())
     degree = both.groupBy("a").agg(F.count("*").alias("d"))
     nodes = cut(items.select(F.col(item).alias("a")).distinct().join(degree, "a", "left").fillna(0, ["d"]).withColumn("prio", F.struct("d", "a")))
     links = cut(both.join(nodes.select("a", F.col("prio").alias("pa")), "a").join(nodes.select(F.col("a").alias("b"), F.col("prio").alias("pb")), "b"))

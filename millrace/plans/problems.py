@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions.nulls import norm_id
 from millrace.operators import compaction, heavy_keys, strict_parse, units
-from millrace.session import table
+from millrace.session import spread, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = table(spark, sf_dir, "measurements").select("measurement_id", "cid", "activity_name", "activity_value", "activity_unit")
+    readings = spread(readings, "measurement_id")
     molar = units.to_molar(readings, units.latest_masses(table(spark, sf_dir, "compounds")))
     return molar.select("measurement_id", F.round(F.col("p") * 100).cast("int").alias("p_centi"))
 
@@ -50,18 +51,22 @@ def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heavy_keys.assay_gene_profile(table(spark, sf_dir, "measurements"), (0.25, 0.5, 0.75))
 
 
+def _lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name).select("line_id", "line"), "line_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    atoms = strict_parse.parse_atoms(table(spark, sf_dir, "pqr_lines"))
-    readings = strict_parse.parse_readings(table(spark, sf_dir, "assay_lines"))
+    atoms = strict_parse.parse_atoms(_lines(spark, sf_dir, "pqr_lines"))
+    readings = strict_parse.parse_readings(_lines(spark, sf_dir, "assay_lines"))
     return strict_parse.failures(atoms).unionByName(strict_parse.failures(readings))
 
 
 def p6_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return strict_parse.valid_rows(strict_parse.parse_atoms(table(spark, sf_dir, "pqr_lines")))
+    return strict_parse.valid_rows(strict_parse.parse_atoms(_lines(spark, sf_dir, "pqr_lines")))
 
 
 def p6_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return strict_parse.valid_rows(strict_parse.parse_readings(table(spark, sf_dir, "assay_lines")))
+    return strict_parse.valid_rows(strict_parse.parse_readings(_lines(spark, sf_dir, "assay_lines")))
 
 
 QUERIES = {

@@ -67,6 +67,19 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written as a Parquet table in the shared folder and read from there: columnar, compressed, survives lost executors."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows over all cores, where the scan has fewer splits than there are cores (one small file); else ``df`` as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
