@@ -23,8 +23,9 @@ from millrace.session import cut, spread
 
 #: Characters of a shingle; bands and rows of the signature; least Jaccard of a link.
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 72, 6, 0.55
-#: Part of a skeleton that may differ: beyond it two structures share rings and links, but are no variants.
-EDITS = 0.085
+#: Part of a skeleton that may differ (short ones: up to FEW characters, and at most MOST of the length): beyond it two
+#: structures share rings and links, but are no variants.
+EDITS, FEW, MOST = 0.085, 4, 0.15
 #: A group is loose where a member has fewer than this part of the possible links.
 LOOSE = 0.5
 #: Items of a bucket that are paired in one task; larger buckets are paired block by block.
@@ -66,11 +67,16 @@ def signature(text: str) -> np.ndarray:
     return ((h[:, None] * _SEED[0] + _SEED[1]) >> np.uint64(32)).min(axis=0)
 
 
-def within_edits(a: str, b: str, share: float = EDITS) -> bool:
-    """Whether at most ``share`` of the longer text must be edited to get the other (banded edit distance)."""
+def edits_allowed(length: int) -> int:
+    """Edits between variants whose longer skeleton has this length."""
+    return min(max(FEW, int(EDITS * length + 1e-9)), int(MOST * length + 1e-9))
+
+
+def within_edits(a: str, b: str) -> bool:
+    """Whether few enough characters must be edited to get one text from the other (banded edit distance)."""
     if a == b:
         return True
-    most = int(share * max(len(a), len(b)) + 1e-9)
+    most = edits_allowed(max(len(a), len(b)))
     if abs(len(a) - len(b)) > most:
         return False
     far = most + 1
@@ -129,7 +135,9 @@ def candidates(banded: DataFrame) -> DataFrame:
     left = shared.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))).select("band", F.col("block").alias("p"), F.col("other").alias("q"), F.col("item").alias("x"), F.col("size").alias("sx"))
     right = shared.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block")))).select("band", F.col("other").alias("p"), F.col("block").alias("q"), F.col("item").alias("y"), F.col("size").alias("sy"))
     pairs = left.join(right, ["band", "p", "q"]).where((F.col("p") < F.col("q")) | (F.col("x") < F.col("y"))).where("x <> y")
-    pairs = pairs.where(F.abs(F.col("sx") - F.col("sy")) <= F.floor(F.lit(EDITS) * F.greatest("sx", "sy") + 1e-9))
+    longer = F.greatest("sx", "sy")
+    allowed = F.least(F.greatest(F.lit(FEW), F.floor(F.lit(EDITS) * longer + 1e-9)), F.floor(F.lit(MOST) * longer + 1e-9))
+    pairs = pairs.where(F.abs(F.col("sx") - F.col("sy")) <= allowed)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

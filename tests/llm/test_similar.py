@@ -43,7 +43,7 @@ def test_edit_bound_matches_the_plain_distance():
             k = rng.randint(0, len(b))
             b[k : k + rng.randint(0, 1)] = rng.choice(["", "a", "b"])
         b = "".join(b) or "a"
-        assert S.within_edits(a, b, 0.2) == (plain(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
+        assert S.within_edits(a, b) == (plain(a, b) <= S.edits_allowed(max(len(a), len(b))))
 
 
 def test_minhash_estimates_jaccard():
