@@ -123,7 +123,7 @@ def concentration_graph() -> UnitGraph:
         for k in range(1, 19):
             unit = f"e-{k} {canonical}"
             g.connect(unit, canonical, power(-k))
-            for writing in (f"10^-{k}", f"1e-{k}", f"1.0e-{k}", f"10e-{k}" if False else f"10**-{k}", f"10-{k}", f"x10^-{k}", f"*10^-{k}", f"1x10^-{k}", f"1*10^-{k}", f"e-{k}"):
+            for writing in (f"10^-{k}", f"1e-{k}", f"1.0e-{k}", f"10**-{k}", f"10-{k}", f"x10^-{k}", f"*10^-{k}", f"1x10^-{k}", f"1*10^-{k}", f"e-{k}"):
                 for stem in ("m", "molar", "mol/l") if amount == "mol" else ("g/l",):
                     if f"{writing} {stem}" != unit:
                         g.alias(f"{writing} {stem}", unit)

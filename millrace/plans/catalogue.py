@@ -359,7 +359,7 @@ def json_table(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT cid, XLogP, MolecularWeight, InChIKey FROM compounds")
 def json_properties(s: SparkSession, d: str) -> DataFrame:
-    """Property tables as JSON, one per cache part and remainder class of files, read into typed rows."""
+    """Property tables as JSON, one per row, read into typed rows."""
     p = F.struct(F.col("cid").alias("CID"), "XLogP", "MolecularWeight", "InChIKey")
     docs = t(s, d, "compounds").select(F.to_json(F.struct(F.struct(F.array(p).alias("Properties")).alias("PropertyTable"))).alias("doc"))
     return json_docs.property_rows(docs, ["XLogP", "MolecularWeight", "InChIKey"])
