@@ -27,26 +27,29 @@ def _shared_words(a: str, b: str):  # noqa: ANN202
     return F.aggregate(both, F.lit(0), lambda s, n: s + n)
 
 
-def tanimoto_edges(items: DataFrame, floor: float, item: str = "item", bits: str = "bits") -> DataFrame:
-    """``i, j, sim`` (j < i) of all pairs with similarity of at least ``floor``.
+def tanimoto_edges(items: DataFrame, floor: float, item: str = "item", bits: str = "bits", group: str | None = None) -> DataFrame:
+    """``i, j, sim`` (j < i) of all pairs with similarity of at least ``floor``; with ``group``, of pairs within a group.
 
     No pair is made that can't reach the floor: by prefix filtering two sets
     share one of their rarest ``n - ceil(floor * n) + 1`` bits, which is an
     equi-join on single bits; sizes must agree as well.  Empty sets have no
-    edges.  A floor of 0 would mean all pairs and is refused.
+    edges.  A floor of 0 would mean all pairs and is refused.  Items are unique
+    over all groups.
     """
     if not 0 < floor <= 1:
         raise ValueError("floor must lie in (0, 1]")
-    rows = items.select(F.col(item).alias("id"), F.array_distinct(bits).alias("bits")).where(F.size("bits") > 0)
-    freq = rows.select(F.explode("bits").alias("bit")).groupBy("bit").count()
+    own = [] if group is None else [F.col(group).alias("group")]
+    at = ["group", "bit"] if own else ["bit"]
+    rows = items.select(F.col(item).alias("id"), *own, F.array_distinct(bits).alias("bits")).where(F.size("bits") > 0)
+    freq = rows.select(*at[:-1], F.explode("bits").alias("bit")).groupBy(*at).count()
     n = F.size("bits")
-    ranked = rows.withColumn("n", n).select("id", "n", F.explode("bits").alias("bit")).join(freq, "bit")
+    ranked = rows.withColumn("n", n).select("id", *at[:-1], "n", F.explode("bits").alias("bit")).join(freq, at)
     place = F.row_number().over(Window.partitionBy("id").orderBy("count", "bit"))
     keep = F.col("n") - F.ceil(F.lit(floor) * F.col("n") - 1e-9) + 1
-    prefix = cut(ranked.withColumn("p", place).where(F.col("p") <= keep).select("id", "n", "bit"))
-    a, b = (prefix.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), "bit") for x in ("i", "j"))
+    prefix = cut(ranked.withColumn("p", place).where(F.col("p") <= keep).select("id", "n", *at))
+    a, b = (prefix.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), *at) for x in ("i", "j"))
     small, large = F.least("ni", "nj"), F.greatest("ni", "nj")
-    pairs = a.join(b, "bit").where("j < i").where(small >= F.lit(floor) * large - 1e-9).select("i", "j").distinct()
+    pairs = a.join(b, at).where("j < i").where(small >= F.lit(floor) * large - 1e-9).select("i", "j").distinct()
     top = rows.agg(F.max(F.array_max("bits"))).first()[0]
     dense = top is not None and top < DENSE_BITS
     held = _words("bits") if dense else F.col("bits")
@@ -121,10 +124,10 @@ def cluster_groups(rows: DataFrame, group: str, item: str, bits: str, cutoff: fl
 
     Small groups are clustered inside one task; groups of more than ``largest``
     items go through the distributed edges and ``butina`` by one joint graph
-    over (group, item).
+    over (group, item), which needs a cutoff above 0.
     """
     distinct = rows.where(F.col(item).isNotNull() & (F.size(bits) > 0)).groupBy(group, item).agg(F.min(bits).alias(bits))
-    sizes = distinct.groupBy(group).count()
+    sizes = cut(distinct.groupBy(group).count())
     small = distinct.join(sizes.where(F.col("count") <= largest).select(group), group, "left_semi")
 
     def run(d: pd.DataFrame) -> pd.DataFrame:
@@ -144,7 +147,30 @@ def cluster_groups(rows: DataFrame, group: str, item: str, bits: str, cutoff: fl
         return pd.DataFrame({group: d[group], item: d[item], "cluster_id": label})
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return small.groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {item} {kinds[item]}, cluster_id long")
+    out = small.groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {item} {kinds[item]}, cluster_id long")
+    large = sizes.where(F.col("count") > largest).select(group)
+    if not large.where(F.col(group).isNotNull()).take(1):
+        return out
+    return out.unionByName(_cluster_jointly(distinct.join(large, group, "left_semi"), group, item, bits, cutoff))
+
+
+def _cluster_jointly(rows: DataFrame, group: str, item: str, bits: str, cutoff: float) -> DataFrame:
+    """``group, item, cluster_id`` as ``cluster_groups`` has it, by one graph over all groups.
+
+    Nodes are numbered in the order of (group, item), so that ties of ``butina``
+    go as they do within a group; its ids are in order of picking and are ranked
+    once more in each group.
+    """
+    from millrace.functions.ranks import rank_within
+
+    nodes = cut(rows.select(F.col(group).alias("group"), F.col(item).alias("name"), F.col(bits).alias("bits")))
+    nodes = cut(rank_within(nodes, [], ["group", "name"], "item"))
+    labels = cut(butina(nodes, tanimoto_edges(nodes, cutoff, group="group")))
+    where = nodes.select("item", "group", "name")
+    centers = labels.where("item = representative").join(where, "item").select("group", "cluster_id")
+    numbered = rank_within(centers, ["group"], ["cluster_id"]).select("cluster_id", (F.col("rank") + 1).alias("number"))
+    named = labels.select("item", "cluster_id").join(numbered, "cluster_id").join(where, "item")
+    return named.select(F.col("group").alias(group), F.col("name").alias(item), F.col("number").alias("cluster_id"))
 
 
 def clusters_with_members(labels: DataFrame) -> DataFrame:

@@ -118,6 +118,19 @@ def test_edges_and_butina_match_the_plain_way(spark, seed):
     assert {r.item for r in per} == live
 
 
+@pytest.mark.parametrize("largest", [0, 9, 20])
+def test_large_groups_are_clustered_as_small_ones(spark, largest):
+    rng = random.Random(5)
+    names = [(g, f"{g}{i:02d}") for g, n in (("a", 24), ("b", 9), ("c", 15), ("d", 1)) for i in range(n)]
+    data = [(g, i, sorted({b for b in range(16) if rng.random() < 0.5} | {16})) for g, i in names]
+    data += [("a", None, [1]), ("a", "zz", []), ("a", "a00", data[0][2])]
+    sets = rows(spark, data, "label string, name string, bits array<int>")
+    want = {tuple(r) for r in similarity.cluster_groups(sets, "label", "name", "bits", 0.5).collect()}
+    got = similarity.cluster_groups(sets, "label", "name", "bits", 0.5, largest=largest)
+    assert got.columns == ["label", "name", "cluster_id"] and sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert len(want) == len(names)
+
+
 def test_floor_and_orphans(spark):
     items = rows(spark, [], "item long, bits array<int>")
     with pytest.raises(ValueError):
