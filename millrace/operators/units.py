@@ -82,13 +82,17 @@ class UnitGraph:
                     raise InconsistentUnits(f"the way {a} -> {b} -> {canonical} differs from {a} -> {canonical}")
         return best
 
+    def spellings(self, canonical: str) -> dict[str, str]:
+        """Every spelling of a unit that has a way to ``canonical``, with that unit."""
+        best = self.compositions(canonical)
+        return {**{u: u for u in best}, **{s: u for s, u in self.aliases.items() if u in best}}
+
     def table(self, spark: SparkSession, canonicals: Iterable[str]) -> DataFrame:
         """``unit_key, unit, canonical, scale, offset`` for every spelling; its size is that of the graph."""
         rows = []
         for canonical in canonicals:
             best = self.compositions(canonical)
-            spelled = {**{u: u for u in best}, **{s: u for s, u in self.aliases.items() if u in best}}
-            rows += [(s, u, canonical, float(best[u].scale), float(best[u].offset)) for s, u in sorted(spelled.items())]
+            rows += [(s, u, canonical, float(best[u].scale), float(best[u].offset)) for s, u in sorted(self.spellings(canonical).items())]
         schema = T.StructType([T.StructField(c, T.StringType()) for c in ("unit_key", "unit", "canonical")] + [T.StructField(c, T.DoubleType()) for c in ("scale", "offset")])
         return spark.createDataFrame(rows, schema)
 
@@ -230,6 +234,11 @@ def read_concentrations(df: DataFrame, name: str = "activity_name", value: str =
     )
 
 
+#: Found in the raw text of every mass concentration: ``unit_key`` neither adds nor changes letters but the micro signs,
+#: and a key has "g" behind a prefix (only "...ogram" ends one in o, none ends in e), before "/", a blank or "r".  In the
+#: raw text a volume may stand behind "g" at once, and no volume begins with i.
+MASSY = r"(?i)(?<![eo])g(?!i)|gram|pp[mb]"
+
 #: Spellings that name another quantity: such a reading is no concentration.
 OTHER_UNITS = ("%", "percent", "fold", "ratio", "min", "s", "h", "hr", "degc", "c", "k", "rlu", "rfu", "au")
 
@@ -250,8 +259,8 @@ def to_molar(df: DataFrame, masses: DataFrame, graph: UnitGraph | None = None, k
     known = graph.table(spark, ("mol/l", "g/l", "p", "lg g/l"))
     names = {"name": "activity_name", "value": "activity_value", "unit": "activity_unit"} | fields
     raw = F.concat_ws("\x01", *(F.col(names[x]) for x in ("unit", "name", "value")))
-    # mass spellings hold g/..., gram, "g l-1" or parts per million; nothing else does
-    massy = raw.rlike(r"(?i)g\s*[/.·]|gram|g\s*[dcmunp]?l\s*-1|pp[mb]|g per ")
+    # a superset of the rows with a mass concentration; a graph with other spellings of mass is not filtered
+    massy = raw.rlike(MASSY) if all(re.search(MASSY, s) for s in graph.spellings("g/l")) else F.lit(True)
     kept = [c for c in df.columns if c not in ("p", "molecular_weight")]
     base = df.select(*kept)
 

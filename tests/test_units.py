@@ -1,12 +1,13 @@
 """Unit graph and concentrations."""
 
 import math
+import re
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.units import InconsistentUnits, UnitGraph, concentration_graph, latest_masses, py_unit_key, to_molar, unit_key
+from millrace.operators.units import MASSY, InconsistentUnits, UnitGraph, concentration_graph, latest_masses, py_unit_key, to_molar, unit_key
 
 SCHEMA = "measurement_id long, cid long, activity_name string, activity_value string, activity_unit string, p string"
 
@@ -85,6 +86,35 @@ def test_concentrations(spark):
         assert got.get(i) == pytest.approx(want), case
 
 
+MASS_UNITS = [
+    "ug mL^-1", "ug mL(-1)", "ug*mL-1", "ug mL\u207b\u00b9", "ug mL\u2212\u00b9", "ug mL\u22121", "ug\u22c5mL-1", "ug\u00a0/ mL", "ug\u00a0mL-1", "\u00b5g ml -1",
+    "ug * mL^(-1)", "mg dm3-1", "g m3 -1", "MG/L", "microgram/mL", "PPM", "mg l-1", "ug/mL",
+]
+
+
+def test_every_spelling_of_mass_meets_its_compound(spark):
+    g = concentration_graph()
+    known, keys = g.compositions("g/l"), [py_unit_key(u) for u in MASS_UNITS]
+    want = {i: math.log10(500.0 / float(known[g.aliases.get(k, k)].scale * 5)) for i, k in enumerate(keys)}
+    got = run(spark, [(1, "IC50", "5", u) for u in MASS_UNITS])
+    assert got == pytest.approx(want)
+    # the unit in the name or the value
+    named = run(spark, [(1, f"IC50 [{u}]", "5", None) for u in MASS_UNITS if "(" not in u] + [(1, "IC50", f"5 {u}", None) for u in MASS_UNITS])
+    assert len(named) == 2 * len(MASS_UNITS) - sum("(" in u for u in MASS_UNITS)
+
+
+def test_prefilter_holds_for_every_spelling_of_the_graph(spark):
+    endings = [("l", "l"), ("ml", "ml"), ("dm3", "dm3"), ("m3", "m3")]
+    for s in concentration_graph().spellings("g/l"):
+        raw = [s, s.upper()] + [s.replace(f"/{v}", f"{gap}{w}{power}") for v, w in endings if s.endswith(f"/{v}") for gap in ("", " ", "*", ".", "\u22c5") for power in ("-1", " ^-1", "(-1)")]
+        assert all(re.search(MASSY, f"\x01{x}\x01") for x in raw), s
+    g = concentration_graph()
+    g.connect("drop", "g/l", Fraction(1, 20))  # a graph may have spellings without any g
+    df = spark.createDataFrame([(7, 1, "IC50", "5", "drop", "")], SCHEMA)
+    m = spark.createDataFrame([(1, 500.0)], "cid long, molecular_weight double")
+    assert [r.p for r in to_molar(df, m, g).collect()] == [pytest.approx(math.log10(500 / 0.25))]
+
+
 def test_what_is_no_concentration(spark):
     rows = [
         (1, "% inhibition at 10 uM", "50", "%"),
