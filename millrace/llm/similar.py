@@ -223,11 +223,10 @@ class SmilesClusters:
         return sizes.join(top, "cluster").select(F.col("cluster").alias("cluster_label"), "cluster_size", "representatives")
 
     def pairs(self) -> DataFrame:
-        """Pairs of keys of one cluster whose skeletons are equal or linked, smaller first."""
+        """Pairs of keys whose skeletons are equal or linked, smaller first; the ends of a link may lie in two clusters of a loose group."""
         a, b = f"{self.key}_a", f"{self.key}_b"
-        inside = self.links.join(self.clusters.withColumnsRenamed({"item": "a", "cluster": "ca"}), "a").join(self.clusters.withColumnsRenamed({"item": "b", "cluster": "cb"}), "b").where("ca = cb").select("a", "b")
         same = self.items.select(F.col("item").alias("a"), F.col("item").alias("b"), "copies").where("copies > 1").select("a", "b")
         m = self.membership
-        out = inside.unionByName(same).join(m.withColumnsRenamed({self.key: "x", "item": "a"}), "a").join(m.withColumnsRenamed({self.key: "y", "item": "b"}), "b")
+        out = self.links.select("a", "b").unionByName(same).join(m.withColumnsRenamed({self.key: "x", "item": "a"}), "a").join(m.withColumnsRenamed({self.key: "y", "item": "b"}), "b")
         out = out.where("a <> b OR x < y")
         return out.select(F.least("x", "y").alias(a), F.greatest("x", "y").alias(b))

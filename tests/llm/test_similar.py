@@ -86,6 +86,19 @@ def test_pairs_match_brute_force(spark):
     assert sum(n for n, _ in sizes.values()) == len(items) and all(1 <= len(r) <= 3 for _, r in sizes.values())
 
 
+def test_links_across_a_cut_of_a_loose_group_are_pairs(spark):
+    text = chain(random.Random(11), 12)
+    rows = [(0, text)]
+    for i in range(1, 13):
+        text = text[: 9 * i] + "SNO" + text[9 * i :]
+        rows += [(i, text), (100 + i, text + ".Cl")]
+    done = S.SmilesClusters(spark.createDataFrame(rows, "cid long, SMILES string"))
+    want = brute([(c, S.skeleton(s)) for c, s in rows])
+    label = {r.cid: r.cluster for r in done.membership.join(done.clusters, "item").collect()}
+    assert any(label[a] != label[b] for a, b in want)
+    assert sorted(tuple(r) for r in done.pairs().collect()) == sorted(want)
+
+
 def test_loose_groups_are_split_around_medoids(spark):
     # two tight groups of four, held together by one link
     links = [(a, b) for g in (range(4), range(4, 8)) for a in g for b in g if a < b] + [(3, 4)]
