@@ -15,11 +15,12 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions.nulls import col
+from millrace.session import cut, fits_broadcast
 
 
 class InconsistentUnits(ValueError):
@@ -93,8 +94,9 @@ class UnitGraph:
         for canonical in canonicals:
             best = self.compositions(canonical)
             rows += [(s, u, canonical, float(best[u].scale), float(best[u].offset)) for s, u in sorted(self.spellings(canonical).items())]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in ("unit_key", "unit", "canonical")] + [T.StructField(c, T.DoubleType()) for c in ("scale", "offset")])
-        return spark.createDataFrame(rows, schema)
+        names = ("unit_key", "unit", "canonical", "scale", "offset")
+        kinds = [pa.string()] * 3 + [pa.float64()] * 2
+        return spark.createDataFrame(pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names))
 
 
 #: Decimal prefixes and their long names.
@@ -152,6 +154,9 @@ def concentration_graph() -> UnitGraph:
     for unit, function in g.compositions("g/l").items():
         if unit != "g/l":
             g.connect(f"lg {unit}", "lg g/l", 1, _exponent(function.scale))
+    for spelling, unit in {**g.spellings("mol/l"), **g.spellings("g/l")}.items():
+        if spelling != unit:
+            g.alias(f"lg {spelling}", f"lg {unit}")
     for spelling in ("-log m", "-log(m)", "-log[m]", "-log10 m", "-log10(m)", "-log10[m]", "-lg m", "-lg(m)", "-log mol/l", "-log(mol/l)", "-log10(mol/l)", "neg. log m", "neg log m", "-log", "-log10", "-lg", "plog", "-log units"):
         g.alias(spelling, "p")
     return g
@@ -169,21 +174,31 @@ def _exponent(scale: Fraction) -> int:
     return e
 
 
+#: The last steps of a canonical spelling: ``l-1`` as ``/l``, no blanks around ``/``, the logarithm of a unit as ``lg unit``.
+_KEY_RULES = (
+    (r"^((?:(?:log|lg) ?(?:10)? ?[(\[]? ?)?\w+)[ .*]*(d|c|m|u|n|p|)(l|dm3|m3)\s?\^?\(?-1\)?([)\]]?)$", r"\1/\2\3\4"),
+    (r" ?/ ?", "/"),
+    (r"^(?:log|lg) ?(?:10)?(?: | ?\( ?| ?\[ ?)([^()\[\]]+?) ?[)\]]?$", r"lg \1"),
+)
+
+
 def unit_key(c: Column | str) -> Column:
     """Canonical spelling: lower case, one micro sign, ``/l`` for ``l-1``, no outer or doubled blanks."""
     text = F.translate(F.lower(col(c)), "µμ−⁻‐‑–⁰¹²³⁴⁵⁶⁷⁸⁹·⋅× ", "uu-----0123456789..x ")
     text = F.regexp_replace(text, r"\s+", " ")
     text = F.regexp_replace(text, r"^ | $", "")
-    text = F.regexp_replace(text, r"^(\w+)[ .*]*(d|c|m|u|n|p)?(l|dm3|m3)\s?\^?\(?-1\)?$", "$1/$2$3")
-    return F.regexp_replace(text, r" ?/ ?", "/")
+    for pattern, into in _KEY_RULES:
+        text = F.regexp_replace(text, pattern, re.sub(r"\\(\d)", r"$\1", into))
+    return text
 
 
 def py_unit_key(text: str) -> str:
     """``unit_key`` for one Python string, for tests and tables."""
     text = text.lower().translate(str.maketrans("µμ−⁻‐‑–⁰¹²³⁴⁵⁶⁷⁸⁹·⋅× ", "uu-----0123456789..x "))
     text = re.sub(r"\s+", " ", text).strip(" ")
-    text = re.sub(r"^(\w+)[ .*]*(d|c|m|u|n|p)?(l|dm3|m3)\s?\^?\(?-1\)?$", lambda m: f"{m[1]}/{m[2] or ''}{m[3]}", text)
-    return re.sub(r" ?/ ?", "/", text)
+    for pattern, into in _KEY_RULES:
+        text = re.sub(pattern, into, text)
+    return text
 
 
 #: The measured quantities that are concentrations.
@@ -204,90 +219,115 @@ def _written(name: Column, pattern: str, *groups: int) -> Column:
     return F.coalesce(*(F.nullif(F.regexp_extract(name, pattern, i), F.lit("")) for i in groups))
 
 
-def read_concentrations(df: DataFrame, name: str = "activity_name", value: str = "activity_value", unit: str = "activity_unit") -> DataFrame:
-    """Adds ``__kind`` (linear, neg, log; NULL: no concentration), ``__number`` and the unit spellings ``__u1..__u3``.
+def _kind(name: Column) -> Column:
+    """What the cleaned name says of its values: ``linear``, ``neg`` (negative logarithm) or ``log``; NULL: no concentration."""
+    linear = name.rlike(NAME_LINEAR) | name.rlike(NAME_LINEAR_FIRST)
+    return F.when(name.rlike(NAME_NEGATIVE), "neg").when(name.rlike(NAME_LOG), "log").when(linear, "linear")
 
-    NULL and blank fields, names of other quantities and values that hold no
-    number give a NULL kind or number; no row is lost.
-    """
-    text = F.regexp_replace(F.translate(F.lower(col(name)), "µμ− ", "uu- "), r"\s+", " ")
-    df = df.withColumn("__name", F.trim(text))
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that costs time: filters behind it are not pushed into its expression, which would double the work."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def read_names(df: DataFrame, name: str, unit: str) -> DataFrame:
+    """Adds ``__kind`` and the unit spellings ``__u1`` (unit column) and ``__u2`` (in the name); no row is lost."""
+    text = F.regexp_replace(F.translate(F.lower(col(name)), "µμ− ", "uu- "), r"\s+", " ")
+    df = _once(_once(df, "__name", F.trim(text)), "__kind", _kind(F.col("__name")))
     n = F.col("__name")
-    kind = (
-        F.when(n.rlike(NAME_NEGATIVE), "neg").when(n.rlike(NAME_LOG), "log").when(n.rlike(NAME_LINEAR) | n.rlike(NAME_LINEAR_FIRST), "linear")
-    )
-    # a value such as "9e-9M": the number is the longest that leaves a unit or nothing
-    parsed = _QUALIFIER + _NUMBER + r"[\s ]*(.*?)[\s ]*$"
-    clean = F.regexp_replace(col(value), "−", "-")
-    return (
-        df.withColumn("__kind", kind)
-        .withColumn("__number", F.nullif(F.regexp_extract(clean, parsed, 1), F.lit("")).try_cast("double"))
-        .withColumn("__u1", unit_key(unit))
-        .withColumn(
-            "__u2",
-            unit_key(
-                F.when(F.col("__kind") == "linear", F.coalesce(_written(n, NAME_LINEAR, 1, 2), _written(n, NAME_LINEAR_FIRST, 1))).when(F.col("__kind") == "log", _written(n, NAME_LOG, 1))
-            ),
-        )
-        .withColumn("__u3", unit_key(F.regexp_extract(clean, parsed, 2)))
-        .drop("__name")
-    )
+    linear = F.coalesce(_written(n, NAME_LINEAR, 1, 2), _written(n, NAME_LINEAR_FIRST, 1))
+    stated = F.when(F.col("__kind") == "linear", linear).when(F.col("__kind") == "log", _written(n, NAME_LOG, 1))
+    return _once(df.withColumn("__u2", unit_key(stated)), "__u1", unit_key(unit)).drop("__name")
 
 
-#: Found in the raw text of every mass concentration: ``unit_key`` neither adds nor changes letters but the micro signs,
-#: and a key has "g" behind a prefix (only "...ogram" ends one in o, none ends in e), before "/", a blank or "r".  In the
-#: raw text a volume may stand behind "g" at once, and no volume begins with i.
-MASSY = r"(?i)(?<![eo])g(?!i)|gram|pp[mb]"
+#: A value such as "9e-9M": a qualifier, the longest number that leaves a unit or nothing, and the unit.
+VALUE = _QUALIFIER + _NUMBER + r"[\s ]*(.*?)[\s ]*$"
 
 #: Spellings that name another quantity: such a reading is no concentration.
 OTHER_UNITS = ("%", "percent", "fold", "ratio", "min", "s", "h", "hr", "degc", "c", "k", "rlu", "rfu", "au")
 
 
+def _meanings(spark: SparkSession, graph: UnitGraph) -> DataFrame:
+    """``unit_key, target, scale, offset`` of every spelling, once for each kind of name (``as``) it may stand with.
+
+    A name that says "logarithm" makes a plain unit its logarithm (``lg unit``);
+    with any other name a unit means what it says.
+    """
+    known = graph.table(spark, ("mol/l", "g/l", "p", "lg g/l"))
+    plain = known.select("unit_key", F.lit("linear").alias("as"), F.col("canonical").alias("target"), "scale", "offset")
+    log = known.where(F.col("unit_key").startswith("lg ")).select(F.substring("unit_key", 4, 1 << 20).alias("unit_key"), F.lit("log").alias("as"), F.col("canonical").alias("target"), "scale", "offset")
+    return plain.unionByName(log).unionByName(log.withColumn("unit_key", F.concat(F.lit("lg "), "unit_key")))
+
+
 def to_molar(df: DataFrame, masses: DataFrame, graph: UnitGraph | None = None, key: str = "cid", **fields: str) -> DataFrame:
     """Concentrations as ``p = -log10(mol/l)``, with the rows that aren't any left out.
 
-    ``df`` needs the three text fields (see ``read_concentrations``) and ``key``;
-    ``masses`` has ``key`` once with ``molecular_weight``.  The unit in the unit
-    column goes before one in the name, and that before one in the value.  A
-    negative logarithm is of mol/l; another logarithm is of its unit.  Only mass
-    concentrations, filtered by a cheap look at the raw text, are joined with
-    ``masses``; all other rows need no shuffle.  Extra columns are kept; a column
-    of ``df`` named ``p`` is replaced.
+    ``df`` needs the three text fields ``activity_name``, ``activity_value`` and
+    ``activity_unit`` (or others named by ``name``, ``value``, ``unit``) and
+    ``key``; ``masses`` has ``key`` once with ``molecular_weight``.  The unit in
+    the unit column goes before one in the name, and that before one in the
+    value.  A negative logarithm is of mol/l; another logarithm is of its unit.
+    NULL and blank fields, names of other quantities, values without a number
+    and linear values of 0 or less give no row.
+
+    Spellings meet the closure of the graph in equi-joins on (spelling, kind of
+    name), and every reading takes its affine function from there.  Names and
+    units are parsed once per distinct pair, as long as those are few; else row
+    by row, with the same result.  Only mass concentrations are joined with
+    ``masses``; all other rows need no shuffle.  Extra columns are kept; a
+    column of ``df`` named ``p`` is replaced.
     """
     spark = df.sparkSession
-    graph = graph or concentration_graph()
-    known = graph.table(spark, ("mol/l", "g/l", "p", "lg g/l"))
     names = {"name": "activity_name", "value": "activity_value", "unit": "activity_unit"} | fields
-    raw = F.concat_ws("\x01", *(F.col(names[x]) for x in ("unit", "name", "value")))
-    # a superset of the rows with a mass concentration; a graph with other spellings of mass is not filtered
-    massy = raw.rlike(MASSY) if all(re.search(MASSY, s) for s in graph.spellings("g/l")) else F.lit(True)
+    look = F.broadcast(_meanings(spark, graph or concentration_graph()))
     kept = [c for c in df.columns if c not in ("p", "molecular_weight")]
-    base = df.select(*kept)
 
-    def parsed(part: DataFrame) -> DataFrame:
-        part = read_concentrations(part, **names).where(F.col("__kind").isNotNull() & F.col("__number").isNotNull())
+    def meant(part: DataFrame, i: int) -> DataFrame:
+        """The function of spelling ``__u{i}``."""
+        at = look.select(F.col("unit_key").alias("__k"), F.col("as").alias("__as"), F.struct("target", "scale", "offset").alias(f"__f{i}"))
+        kind = F.when(F.col("__kind") == "log", "log").otherwise("linear")
+        return part.join(at, (F.col(f"__u{i}") == F.col("__k")) & (kind == F.col("__as")), "left").drop("__k", "__as", f"__u{i}")
+
+    def resolved(part: DataFrame, name: str, unit: str) -> DataFrame:
+        """Adds ``__kind`` and the function ``__f`` that unit column or name give; rows of other quantities go."""
+        part = read_names(part, name, unit).where("__kind IS NOT NULL")
         part = part.where(~F.coalesce(F.col("__u1").isin(*OTHER_UNITS), F.lit(False)))
-        for i in (1, 2, 3):
-            look = known.where(F.col("canonical").isin("mol/l", "g/l", "p")).select(
-                F.col("unit_key").alias(f"__k{i}"), F.struct("canonical", "scale", "offset").alias(f"__c{i}")
-            )
-            part = part.join(F.broadcast(look), F.col(f"__u{i}") == F.col(f"__k{i}"), "left").drop(f"__k{i}", f"__u{i}")
-        unit = F.coalesce("__c1", "__c2", "__c3")
-        # the unit column may say that a plain reading is a negative logarithm; the logarithm of a unit takes that unit from the first column that has one
-        linear_unit = F.coalesce(*(F.when(F.col(f"__c{i}.canonical") != "p", F.col(f"__c{i}")) for i in (1, 2, 3)))
-        kind = F.when((F.col("__kind") == "linear") & (unit["canonical"] == "p"), "neg").otherwise(F.col("__kind"))
-        part = part.withColumn("__kind2", kind).withColumn("__unit", linear_unit)
-        return part.where((F.col("__kind2") == "neg") | F.col("__unit").isNotNull()).where((F.col("__kind2") != "linear") | (F.col("__number") > 0))
-
-    number, scale = F.col("__number"), F.col("__unit.scale")
-    logarithm = F.when(F.col("__kind2") == "log", number + F.log10(scale)).otherwise(F.log10(number * scale))
-    plain = parsed(base)
-    is_mass = (F.col("__kind2") != "neg") & (F.col("__unit.canonical") == "g/l")
-    molar = plain.where(~is_mass).select(*kept, F.when(F.col("__kind2") == "neg", number).otherwise(-logarithm).alias("p"))
+        return meant(meant(part, 1), 2).withColumn("__f", F.coalesce("__f1", "__f2")).drop("__f1", "__f2")
+
+    pairs = df.select(F.col(names["name"]).alias("__n"), F.col(names["unit"]).alias("__t")).distinct()
+    # each distinct pair is parsed once; frozen, so that its size can be looked at before it is broadcast
+    pairs = cut(resolved(pairs.repartition(spark.sparkContext.defaultParallelism), "__n", "__t").select("__n", "__t", "__kind", "__f"))
+    base = df.select(*kept)
+    if fits_broadcast(pairs):
+        at = (F.col(names["name"]) == F.col("__n")) & F.col(names["unit"]).eqNullSafe(F.col("__t"))
+        base = base.join(F.broadcast(pairs), at).drop("__n", "__t")
+    else:
+        base = resolved(base, names["name"], names["unit"])
+
+    def read(part: DataFrame) -> DataFrame:
+        """Adds the number and, where nothing else told it, the unit in the value; then ``__y``, the number on its target's scale."""
+        clean = F.translate(F.col(names["value"]), "−\x01", "- ")
+        # one match: number and rest around a sign; a text that doesn't match stays as it is, and is no number then
+        part = _once(part, "__value", F.split(F.regexp_replace(clean, VALUE, "\x01$1\x01$2"), "\x01"))
+        part = part.withColumn("__number", F.when(F.size("__value") == 3, F.get("__value", F.lit(1)).try_cast("double"))).where("__number IS NOT NULL")
+        part = _once(part, "__u3", F.when(F.col("__f").isNull() & (F.col("__kind") != "neg"), unit_key(F.get("__value", F.lit(2))))).drop("__value")
+        part = meant(part, 3).withColumn("__f", F.coalesce("__f", "__f3")).drop("__f3")
+        part = part.withColumn("__target", F.when(F.col("__kind") == "neg", F.lit("p")).otherwise(F.col("__f.target"))).where("__target IS NOT NULL")
+        part = part.where(~F.col("__target").isin("mol/l", "g/l") | (F.col("__number") > 0))
+        return part.withColumn("__y", F.when(F.col("__kind") == "neg", F.col("__number")).otherwise(F.col("__number") * F.col("__f.scale") + F.col("__f.offset")))
+
+    def negative(y: Column, target: Column) -> Column:
+        """-lg of an amount or a mass, from a value in any of the four canonical units."""
+        return F.when(target == "p", y).when(target == "lg g/l", -y).otherwise(-F.log10(y))
+
+    y, target = F.col("__y"), F.col("__target")
+    mass_units = ("g/l", "lg g/l")
+    molar = read(base).where(~target.isin(*mass_units)).select(*kept, negative(y, target).alias("p"))
     mass = masses.where((F.col("molecular_weight") > 0) & ~F.isnan("molecular_weight")).select(F.col(key).alias("__key"), "molecular_weight")
-    by_mass = (
-        parsed(base.where(massy)).where(is_mass).join(mass, F.col(key) == F.col("__key")).select(*kept, (F.log10("molecular_weight") - logarithm).alias("p"))
-    )
+    # a row whose unit column or name tells an amount or a negative logarithm can't be a mass; its value isn't read again
+    may_be = (F.col("__kind") != "neg") & F.coalesce(F.col("__f.target").isin(*mass_units), F.lit(True))
+    heavy = read(base.where(may_be)).where(target.isin(*mass_units))
+    by_mass = heavy.join(mass, F.col(key) == F.col("__key")).select(*kept, (F.log10("molecular_weight") + negative(y, target)).alias("p"))
     return molar.unionByName(by_mass)
 
 

@@ -11,6 +11,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings that the operators rely on; a cluster may set more.
 SETTINGS = {
@@ -74,6 +75,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a table that may be broadcast: as held in memory, about.
+BROADCAST_BYTES = 16 << 20
+
+
+def fits_broadcast(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of ``df`` (checkpointed or stored by the caller) take at most ``most`` bytes: texts by length, 16 for any other field."""
+    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    each = 16 * (2 + len(df.columns))
+    size = df.agg((F.count("*") * each + sum((F.coalesce(F.sum(F.octet_length(f"`{c}`")), F.lit(0)) for c in texts), F.lit(0))).alias("n")).first()[0]
+    return size <= most
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast where its measured size allows it; else Spark shuffles it."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """The rows over all cores, where the scan has fewer splits than there are cores (one small file); else ``df`` as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism

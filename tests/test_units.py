@@ -1,13 +1,12 @@
 """Unit graph and concentrations."""
 
 import math
-import re
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.units import MASSY, InconsistentUnits, UnitGraph, concentration_graph, latest_masses, py_unit_key, to_molar, unit_key
+from millrace.operators.units import InconsistentUnits, UnitGraph, concentration_graph, latest_masses, py_unit_key, to_molar, unit_key
 
 SCHEMA = "measurement_id long, cid long, activity_name string, activity_value string, activity_unit string, p string"
 
@@ -88,7 +87,8 @@ def test_concentrations(spark):
 
 MASS_UNITS = [
     "ug mL^-1", "ug mL(-1)", "ug*mL-1", "ug mL\u207b\u00b9", "ug mL\u2212\u00b9", "ug mL\u22121", "ug\u22c5mL-1", "ug\u00a0/ mL", "ug\u00a0mL-1", "\u00b5g ml -1",
-    "ug * mL^(-1)", "mg dm3-1", "g m3 -1", "MG/L", "microgram/mL", "PPM", "mg l-1", "ug/mL",
+    "ug * mL^(-1)", "mg dm3-1", "g m3 -1", "MG/L", "microgram/mL", "PPM", "mg l-1", "ug/mL", "mg l\u207b\u00b9", "mg mL\u207b\u00b9", "mg ml^-1",
+    "mg l^-1", "mg*ml-1", "mg\u22c5ml-1", "mg l (-1)", "ug\u00b7ml-1",
 ]
 
 
@@ -103,16 +103,27 @@ def test_every_spelling_of_mass_meets_its_compound(spark):
     assert len(named) == 2 * len(MASS_UNITS) - sum("(" in u for u in MASS_UNITS)
 
 
-def test_prefilter_holds_for_every_spelling_of_the_graph(spark):
-    endings = [("l", "l"), ("ml", "ml"), ("dm3", "dm3"), ("m3", "m3")]
-    for s in concentration_graph().spellings("g/l"):
-        raw = [s, s.upper()] + [s.replace(f"/{v}", f"{gap}{w}{power}") for v, w in endings if s.endswith(f"/{v}") for gap in ("", " ", "*", ".", "\u22c5") for power in ("-1", " ^-1", "(-1)")]
-        assert all(re.search(MASSY, f"\x01{x}\x01") for x in raw), s
+def test_logarithms_of_units_follow_the_graph(spark):
+    cases = {"lg nmol/l": 4.0, "lg mol/l": -5.0, "log nM": 4.0, "log10(nM)": 4.0, "lg [uM]": 1.0, "log (nmol L-1)": 4.0, "-log M": 5.0, "lg g/l": math.log10(500) - 5, "log ug/mL": math.log10(500) - 2}
+    assert run(spark, [(1, "IC50", "5", u) for u in cases]) == pytest.approx(dict(enumerate(cases.values())))
+    # the name says that the value is a logarithm: the unit may be plain or say so again
+    assert run(spark, [(1, "log IC50", "2", "nM"), (1, "log IC50", "2", "lg nM"), (1, "log IC50 (ug/mL)", "2", None), (1, "pIC50", "6", "lg nM")]) == pytest.approx({0: 7.0, 1: 7.0, 2: math.log10(500) + 1, 3: 6.0})
+
+
+def test_a_graph_with_a_unit_and_an_offset_of_its_own(spark):
     g = concentration_graph()
-    g.connect("drop", "g/l", Fraction(1, 20))  # a graph may have spellings without any g
-    df = spark.createDataFrame([(7, 1, "IC50", "5", "drop", "")], SCHEMA)
+    g.connect("drop", "g/l", Fraction(1, 20))
+    g.connect("above", "mol/l", Fraction(1, 1000), Fraction(1, 10))
+    df = spark.createDataFrame([(7, 1, "IC50", "5", "drop", ""), (8, 1, "IC50", "900", "above", "")], SCHEMA)
     m = spark.createDataFrame([(1, 500.0)], "cid long, molecular_weight double")
-    assert [r.p for r in to_molar(df, m, g).collect()] == [pytest.approx(math.log10(500 / 0.25))]
+    assert {r[0]: r.p for r in to_molar(df, m, g).collect()} == {7: pytest.approx(math.log10(500 / 0.25)), 8: pytest.approx(0.0)}
+
+
+def test_pairs_too_many_for_a_broadcast_are_read_row_by_row(spark, monkeypatch):
+    rows = [c for c, _ in CASES] + [(1, "IC50", "5", u) for u in MASS_UNITS] + [(1, "IC50", "5", None), (1, "IC50", "5", "\x00")]
+    want = run(spark, rows)
+    monkeypatch.setattr("millrace.operators.units.fits_broadcast", lambda df: False)
+    assert run(spark, rows) == want
 
 
 def test_what_is_no_concentration(spark):
