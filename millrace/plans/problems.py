@@ -23,15 +23,10 @@ PLACE = ("pose_id", "source_file", "block_start", "block_end", "docked_at")
 
 def _compacted(spark: SparkSession, sf_dir: str) -> compaction.Compacted:
     poses = table(spark, sf_dir, "poses")
-    record = {c: norm_text(c) if c in ("protein_id", "ligand_id") else F.col(c) for c in poses.columns if c not in PLACE}
+    record = {c: norm_id(c) if c in ("protein_id", "ligand_id") else F.col(c) for c in poses.columns if c not in PLACE}
     return compaction.compact(poses, "source_file", "pose_id", record)
 
 
-def norm_text(c: str):
-    """Trimmed and upper case; NULL stays NULL and blank stays blank."""
-    return F.when(F.col(c).isNotNull(), F.coalesce(norm_id(c), F.lit("")))
-
-
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compacted(spark, sf_dir).repeats
 
@@ -84,7 +79,7 @@ _INT_KEY = "try_cast(nullif(regexp_extract(trim({c}), '^(?:[A-Za-z][A-Za-z _.-]*
 
 ORACLE = {
     "p3_found": """
-        SELECT pose_id FROM (SELECT pose_id, min(pose_id) OVER (PARTITION BY upper(trim(protein_id)), upper(trim(ligand_id)), UniqueID, conformer_idx, pose_rank, SMILES, n_atoms,
+        SELECT pose_id FROM (SELECT pose_id, min(pose_id) OVER (PARTITION BY nullif(upper(trim(protein_id)), ''), nullif(upper(trim(ligand_id)), ''), UniqueID, conformer_idx, pose_rank, SMILES, n_atoms,
           Vina_affinity, CNNscore, CNNaffinity, CNN_VS, CNNaffinity_variance, Energy) AS first_id FROM poses) WHERE pose_id > first_id""",
     "p4_found": " UNION ALL ".join(
         f"SELECT '{c}' AS key_field, k AS key_value FROM (SELECT {_INT_KEY.format(c=c)} AS k, count(*) AS n FROM measurements GROUP BY 1) WHERE k IS NOT NULL AND n > 0.04 * (SELECT count(*) FROM measurements)"

@@ -67,13 +67,52 @@ def test_empty_table_and_clash(spark):
 def test_a_wrong_copy_is_not_committed(spark, monkeypatch):
     path = fresh_path(spark, "never")
     real = C.manifest
-    monkeypatch.setattr(C, "manifest", lambda df, c: real(df, c).withColumn("n_rows", F.col("n_rows") + 1))
+    monkeypatch.setattr(C, "manifest", lambda df: real(df).withColumn("n_rows", F.col("n_rows") + 1))
     with pytest.raises(C.VerificationError):
         C.compact(frame(spark, [(1, "a", 1.0, 1, "f", "")]), "source_file", "id", record(), path=path)
     with pytest.raises(Exception, match="(?i)path"):
         spark.read.parquet(path).count()
 
 
+def test_a_folder_of_tiny_files_becomes_few(spark, tmp_path):
+    rows = [(i, f"t{i % 7}" if i % 11 else None, i / 3) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, text string, hash double").repartition(60)
+    for part in ("a", "b"):
+        df.write.parquet(str(tmp_path / "in" / part))
+    target = str(tmp_path / "out")
+    bins = C.compact_folder(spark, str(tmp_path / "in"), target, target_bytes=40_000).collect()
+    assert sum(b.n_files for b in bins) == 120 and sum(b.n_rows for b in bins) == 1800 and all(b.verified for b in bins)
+    files = list((tmp_path / "out").rglob("*.parquet"))
+    assert len(files) == len(bins) < 12 and max(b.n_bytes for b in bins) <= 40_000
+    back = spark.read.parquet(target).drop("bin")
+    assert back.exceptAll(df.union(df)).count() == 0 and back.count() == 1800
+    with pytest.raises(FileExistsError):
+        C.compact_folder(spark, str(tmp_path / "in"), target)
+
+
+def test_text_files_and_a_folder_without_rows(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    for i in range(30):
+        (tmp_path / "t" / f"{i}.txt").write_text(f"line {i}\nsame\n")
+    bins = C.compact_folder(spark, str(tmp_path / "t"), str(tmp_path / "o"), "text").collect()
+    assert [(b.n_files, b.n_rows) for b in bins] == [(30, 60)]
+    assert spark.read.parquet(str(tmp_path / "o")).where("value = 'same'").count() == 30
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "x.txt").write_text("")
+    assert C.compact_folder(spark, str(tmp_path / "e"), str(tmp_path / "p"), "text").count() == 0
+
+
+def test_blank_ids_are_one_with_null_ids(spark, data):
+    from millrace.plans.problems import PLACE
+    from millrace.functions.nulls import norm_id
+
+    poses = spark.read.parquet(f"{data}/poses.parquet").limit(1)
+    rows = poses.crossJoin(spark.createDataFrame([(101, None), (102, ""), (103, " \t"), (104, "x"), (105, " X ")], "k long, v string"))
+    rows = rows.withColumn("pose_id", F.col("k")).withColumn("protein_id", F.col("v")).drop("k", "v")
+    rec = {c: norm_id(c) if c in ("protein_id", "ligand_id") else F.col(c) for c in rows.columns if c not in PLACE}
+    assert sorted(r[0] for r in C.repeated_rows(rows, "pose_id", rec).collect()) == [102, 103, 105]
+
+
 def test_two_commits_to_one_place(spark):
     path = fresh_path(spark, "once")
     df = frame(spark, [(1, "a", 1.0, 1, "f", "")])
