@@ -1,17 +1,23 @@
 """Pages of repeated keywords, links or product tags instead of sentences.
 
-Each page becomes a sequence of tokens (links, numbers and hashtags by their
-kind, words without disguise).  The page's suffix automaton gives, at every
-token, the longest substring ending there that occurs again; the characters that
-such substrings cover count where the page has no clauses and no records (logs,
-tables, listings, structures, sequences, settings, references).  A page is
-stuffed where these characters are most of it.
+A page is cut into lines, hard-wrapped lines are joined again, and every
+sentence is judged by its structure alone, whatever its language: a clause has
+enough words, most of them different, few links and list signs, and it ends like
+one or brings words that its neighbourhood doesn't have.  The page's suffix automaton over tokens (links,
+numbers and hashtags by their kind, words without disguise) gives, at every
+token, the longest substring ending there that occurs again; characters that
+such substrings cover count where the page has neither clauses nor records
+(logs, tables, listings, structures, sequences, settings, references).  A
+sentence that is said seven times or more is no clause.  A page is stuffed where
+these characters are most of it.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,37 +26,49 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Least part of the characters, least number of them, and least tokens of a repeated substring (or its characters).
-SHARE, LEAST_CHARS, LEAST_TOKENS, LEAST_REPEAT = 0.4, 60, 2, 8
-
-#: Tokens that make a list by their kind; least items with a count behind them.
-LISTED, LEAST_ITEMS = ("<url>", "<tag>", "<code>", "<count>"), 6
-KINDS = {"url": "<url>", "hash": "<tag>", "code": "<code>", "count": "<count>", "number": "<n>"}
+#: Least part of the characters, least number of them, and characters that make a single token's repeat count.
+SHARE, LEAST_CHARS, LEAST_REPEAT = 0.4, 40, 8
+#: Links and hashtags make a list by their kind; they are compared as such.
+LISTED = ("<url>", "<tag>")
+KINDS = {"url": "<url>", "hash": "<tag>", "number": "<n>", "code": "<id>"}
+#: Nats by which one more token makes a chance repeat rarer in natural text (its collision entropy).
+TOKEN_NATS = 4.6
+#: A sentence that doesn't end like one is a clause from PLAIN_WORDS words on, if at most AGAIN_OPEN of them stand in it
+#: before or within NEAR tokens of it.
+NEAR, AGAIN_OPEN, PLAIN_WORDS = 60, 0.5, 8
+#: Greatest number of list signs a word (in sentences that end like one, and in others), and least part of the words of a
+#: sentence that are different, in windows of WINDOW words.
+SIGNS, SIGNS_OPEN, DIFFERENT, WINDOW = 0.3, 0.15, 0.78, 24
+#: Where so many of the words are of three letters at most, as the small words between others are, fewer need be different.
+GLUE, DIFFERENT_GLUED = 0.36, 0.62
+#: Greatest part of a sentence that pairs of words which it holds twice may make up.
+TWICE = 0.34
+#: Times that a sentence is said before it is no clause.
+SAID = 7
+#: Weight of what no repeat covers in a list (more than SIGNS list signs a word).
+LIST = 0.25
 
 #: Letters of other scripts and digits that stand in for Latin letters.
 LOOKALIKES = str.maketrans("аеорсухікмтвнАЕОРСУХІКМТВНοαερτυνιΟΑΕΡΤΥΝΙ", "aeopcyxikmtbhAEOPCYXIKMTBHoaeptuviOAEPTYNI")
 DIGIT_LETTERS = {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
-#: Function words that clauses of the corpus' languages can't do without.
-FUNCTION_WORDS = frozenset(
-    "the a an of and or in on at to for from by with was were is are be been has have had not no that this it its as than then if when while after before because so we they you "
-    "which who what why how each only both neither nor one per near here does do did can could may should please "
-    "der die das den dem des ein eine einen und oder in im an am auf aus bei mit von vor zu zur zum nach für ist sind war wurde wurden hat haben nicht kein keine dass wenn weil als noch nur wir sie es "
-    "le la les l un une des du de d et ou en dans au aux sur sous par pour avec est sont était a été ont n ne pas que qui si quand on nous il elle ce se cette plus "
-    "el los las un una unos del y o en al por para con sin es son fue ha han no que si cuando se su lo como más hay entre".split()
-)
-#: Of these, the words that join keywords as well.
-JOINING = frozenset("a an and or for with de en pas et ou pour avec und oder für mit y o para con".split())
-_CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
-#: Signs of a Chinese clause, and blanks between characters, which keyword lists have.
-_CJK_CLAUSE, _CJK_GAP = regex.compile(r"[的了是被没]"), regex.compile(r"\p{Han}\s+\p{Han}")
 _INVISIBLE = regex.compile(r"[\p{Cf}­͏ᅟᅠ឴឵ㅤ]+")
-_URL = regex.compile(r"(?:https?://|www\.)[^\s<>\"'()\[\]|,;»]+|\b[\w-]+(?:\.[\w-]+)*\.(?:example|com|net|org|info|biz|shop|io|de|fr|es|cn|test)\b(?:/[^\s<>\"'()\[\]|,;»]*)?", regex.I)
-_TOKEN = regex.compile(rf"(?P<url>{_URL.pattern})|(?P<hash>#[\w]+)|(?P<code>\b[a-z]{{2,6}}-\d+\b)|(?P<count>\(\d+\))|(?P<number>\d+(?:[.,:]\d+)*(?!\p{{L}}))|(?P<han>[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])|(?P<word>[\p{{L}}\p{{M}}\p{{N}}][\p{{L}}\p{{M}}\p{{N}}'’_]*)", regex.I)
+_URL = regex.compile(r"(?:https?://|www\.)[^\s<>\"'()\[\]|,;»]+|(?<![\w./@-])(?:[\p{L}\d-]+\.)+\p{L}{2,}(?![\w-])(?:/[^\s<>\"'()\[\]|,;»]*)?", regex.I)
+_TOKEN = regex.compile(rf"(?P<url>{_URL.pattern})|(?P<hash>#[\w]+)|(?P<code>\b\p{{L}}{{1,6}}-?\d[\d-]+\b|\b\d[\d_]*_\d+\b)|(?P<number>\d+(?:[.,:]\d+)*(?!\p{{L}}))|(?P<han>[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])|(?P<word>[^\W_\p{{Han}}\p{{Hiragana}}\p{{Katakana}}](?:[^\W\p{{Han}}\p{{Hiragana}}\p{{Katakana}}]|['’])*)", regex.I)
+_FIGURE = re.compile(r"\d+")
+_CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _SENTENCE = re.compile(r"(?:[^.!?。！？]|[.!?](?![\s\"'”’).!?]|$))++(?:[.!?。！？]+[\"'”’)]*)?|[.!?。！？]+")
-_WORDS, _DOTTED = re.compile(r"[^\W_][^\W_]*(?:['’][^\W\d_]+)?"), re.compile(r"://|\w\.[A-Za-z]|#\w")
+_ENDS = tuple(".!?。！？…")
+#: Signs that stand between the items of a list.
+_SIGNS = regex.compile(r"[,;|•·»«:>/★☆]|(?<=\s)[-–—*+~](?=\s)|、|\(\s*\d+\s*\)")
+#: Blanks between the characters of a script that writes none.
+_GAP = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]\s+[\p{Han}\p{Hiragana}\p{Katakana}]")
 #: Record lines that a pattern at their start tells: time stamps, references, settings, comments, numbered paths.
 _STAMP, _REFERENCE = re.compile(r"\[?\d{1,4}[-:./]\d\d[-:./]\d\d"), re.compile(r"\[\d+\]\s")
 _SETTING, _NUMBERED_PATH = re.compile(r"[\w.-]+\s*[:=]\s*[\w.+-]*$"), re.compile(r"\d+\s+\S*/\S+$")
+#: Signs that source text and drawn tables are full of.
+_CODE = re.compile(r"[(){}\[\]<>=+*/\\|&^%$#@~;:\"'`_-]")
+#: A path whose first part is a host's name is a link and no file.
+_HOST = re.compile(r"(?:[\w-]+\.)+[A-Za-z]{2,}/")
 _FILE = re.compile(r"[\w.-]*/[\w./-]*\.[A-Za-z]\w{1,5}$")
 _STRUCTURE = re.compile(r"(?:[BCNOSPFIHKbcnosp]|Cl|Br|Na|Si|[0-9=#()\[\]@+\-/\\.%lri])+$")
 _ATOM_WORDS = frozenset("ATOM HETATM REMARK TER END SEQRES".split())
@@ -70,9 +88,11 @@ def is_record(line: str) -> bool:
         return True
     if len(words) == 1 and (first == ">" and len(s) > 1 or len(s) >= 20 and s.isascii() and s.isupper() and s.replace("*", "").replace("-", "").isalpha()):
         return True
+    if first in ">.($[{<+|'\"" and "://" not in s and len(_CODE.findall(s)) > len(s) / 5 or s.startswith((">>> ", "... ")):
+        return True
     if (":" in s or "=" in s) and len(words) <= 3 and "://" not in s and _SETTING.match(s):
         return True
-    if "/" in last and "://" not in last and ".example" not in last.lower() and _FILE.match(last):
+    if "/" in last and "://" not in last and not _HOST.match(last) and _FILE.match(last):
         return True
     return len(words) <= 2 and any(c in "0123456789=#()[]" for c in head) and bool(_STRUCTURE.match(head)) and not head.isdigit()
 
@@ -154,24 +174,111 @@ class Automaton:
         return cls([longest[s] for s in prefix])
 
 
-def is_clause(text: str) -> bool:
-    """Whether a sentence is a clause rather than a list: it ends like one, has enough different words, function words
-    among them, and few links."""
-    if text.rstrip("\"'”’) \t")[-1:] not in tuple(".!?。！？"):
+def unwrapped(lines: list[str]) -> list[str]:
+    """Lines that a paragraph was broken into are one again: in a run of lines each but the last is followed by a word
+    that would not have fitted into the run's width."""
+    out: list[str] = []
+    run: list[str] = []
+
+    def close() -> None:
+        if len(run) > 1:
+            width = max(map(len, run))
+            if width >= 40 and all(len(x) + 1 + len(y.split(None, 1)[0]) > width for x, y in zip(run, run[1:])):
+                out.append(" ".join(x.strip() for x in run))
+                run.clear()
+                return
+        out.extend(run)
+        run.clear()
+
+    for line in lines:
+        if not line.strip() or is_record(line):
+            close()
+            out.append(line)
+        else:
+            if run and len(line) - len(line.lstrip()) > len(run[-1]) - len(run[-1].lstrip()) + 3:
+                close()  # a deeper indent starts something else
+            run.append(line.rstrip())
+    close()
+    return out
+
+
+@dataclass
+class Sentence:
+    """A sentence with the place of its tokens."""
+
+    text: str
+    first: int
+    past: int
+    size: int
+    loose: bool
+    listed: bool = False
+
+
+def _ends(text: str) -> bool:
+    """Whether a sentence ends like one."""
+    return text.rstrip("\"'”’)»* \t")[-1:] in _ENDS
+
+
+def _said_nearby(keys: list[str], parts: list[Sentence], wanted: list[int]) -> dict[int, float]:
+    """Of each wanted sentence, the part of its words that stand in it before, or within NEAR tokens of it."""
+    before = [-1] * len(keys)
+    after = [1 << 60] * len(keys)
+    last: dict[str, int] = {}
+    for i, k in enumerate(keys):
+        j = last.get(k)
+        if j is not None:
+            before[i] = j
+            after[j] = i
+        last[k] = i
+    out: dict[int, float] = {}
+    for w in wanted:
+        p = parts[w]
+        low, high = max(0, p.first - NEAR), p.past + NEAR
+        hits = n = 0
+        for i in range(p.first, p.past):
+            if keys[i] in ("<n>", "<id>") or _CJK.match(keys[i]):
+                continue  # figures say nothing about clauses, nor do single characters of a script of many
+            n += 1
+            hits += before[i] >= low or _next_outside(after, i, p.past) < high
+        out[w] = hits / n if n else 0.0
+    return out
+
+
+def _next_outside(after: list[int], i: int, past: int) -> int:
+    """The next place of the token at ``i`` behind its sentence."""
+    j = after[i]
+    while j < past:
+        j = after[j]
+    return j
+
+
+def _signs(text: str) -> int:
+    """List signs outside links."""
+    return len(_SIGNS.findall(_URL.sub(" ", text) if "." in text else text))
+
+
+def _looks_like_a_clause(text: str, kinds: list[str], keys: list[str]) -> bool:
+    """Structure within the sentence: enough words, most of them different, few links, tags and list signs."""
+    words = [k for k, kind in zip(keys, kinds) if kind in ("word", "han")]
+    n = len(words)
+    if n < 4:
         return False
-    if not text.isascii() and (han := len(_CJK.findall(text))):
-        return han >= 6 and bool(_CJK_CLAUSE.search(text)) and len(_CJK_GAP.findall(text)) <= han / 12
-    links = 0
-    if _DOTTED.search(text):
-        bare = _URL.sub(" ", text)
-        links = len(_URL.findall(text)) + bare.count("#")
-        text = bare
-    words = [word(w) for w in _WORDS.findall(text)]
-    words = [w for w in words if not w[0].isdigit()]
-    if len(words) < 4 or links > len(words) / 2:
+    links = sum(kind in ("url", "hash") for kind in kinds)
+    if links > n / 2:
         return False
-    known = [w for w in words if w in FUNCTION_WORDS]
-    return len(known) >= len(words) / 6 and any(w not in JOINING for w in known) and len(set(words)) > len(words) / 2
+    han = sum(kind == "han" for kind in kinds)
+    if han > n / 2:
+        return n >= 6 and _signs(text) <= n / 6 and len(_GAP.findall(text)) <= han / 12 and len(set(zip(words, words[1:]))) > 0.6 * (n - 1)
+    if _signs(text) > (SIGNS if _ends(text) else SIGNS_OPEN) * n:
+        return False
+    # long sentences repeat words: means over windows do not depend on the length
+    size = min(n, WINDOW)
+    windows = [words[i : i + size] for i in range(0, n - size + 1, max(1, size // 2))]
+    different = sum(len(set(w)) for w in windows) / (size * len(windows))
+    if different < DIFFERENT and (different < DIFFERENT_GLUED or sum(len(w) <= 3 for w in words) < GLUE * n):
+        return False
+    twice = sum(2 * c for w in windows for c in Counter(zip(w, w[1:])).values() if c > 1) if different < 1 else 0
+    return twice <= TWICE * size * len(windows)
 
 
 def _solid(text: str) -> int:
@@ -185,60 +292,61 @@ def stuffed_share(text: str | None, least: float = 0.0) -> tuple[float, int]:
     The whole text is read, however long.  NULL, empty and blank texts give
     (0, 0), as do pages of which less than ``least`` lies outside clauses and
     records: no repetition could bring them to that share, so their automaton
-    isn't needed.
+    isn't needed.  What no repeat covers counts a quarter in a list of items.
+    Repeats must be longer than those that chance brings about in
+    natural text of the page's length.
     """
     if not text or not text.strip():
         return 0.0, 0
-    parts: list[tuple[str, bool]] = []
     total = loose = 0
-    for line in plain(text).split("\n"):
+    keys: list[str] = []
+    weight: list[float] = []
+    parts: list[Sentence] = []
+    judged: list[int] = []
+    for line in unwrapped(plain(text).split("\n")):
         size = _solid(line)
         if not size:
             continue
         total += size
-        if is_record(line):
-            parts.append((line, False))
-            continue
-        for m in _SENTENCE.findall(line):
-            free = not is_clause(m)
-            parts.append((m, free))
-            if free:
-                loose += _solid(m)
+        record = is_record(line)
+        for m in (line,) if record else _SENTENCE.findall(line):
+            solid = size if record else _solid(m)
+            found = [(x.lastgroup, x[0]) for x in _TOKEN.finditer(m)]
+            inside = sum(len(x) for _, x in found)
+            first = len(keys)
+            if inside:
+                scale = solid / inside  # signs between tokens belong to the tokens, in proportion
+                for kind, x in found:
+                    keys.append(KINDS.get(kind) or word(x))
+                    weight.append(len(x) * scale)
+            parts.append(Sentence(m, first, len(keys), solid, not record, not record and _signs(m) > SIGNS * max(1, len(found) - len(_FIGURE.findall(m)))))
+            if not record and _looks_like_a_clause(m, [k for k, _ in found], keys[first:]):
+                judged.append(len(parts) - 1)
+    said = Counter(" ".join(parts[w].text.split()) for w in judged)
+    judged = [w for w in judged if said[" ".join(parts[w].text.split())] < SAID]
+    open_ = [w for w in judged if not _ends(parts[w].text)]
+    nearby = _said_nearby(keys, parts, open_) if open_ else {}
+    for w in judged:
+        p = parts[w]
+        p.loose = w in nearby and (p.past - p.first < PLAIN_WORDS or nearby[w] > AGAIN_OPEN)
+    loose = sum(p.size for p in parts if p.loose)
     if not total or not loose or loose < least * total:
         return 0.0, 0
-    tokens: list[str] = []
-    weight: list[float] = []
-    free: list[bool] = []
-    for part, open_ in parts:
-        found = [(m.lastgroup, m[0]) for m in _TOKEN.finditer(part)]
-        inside = sum(len(x) for _, x in found)
-        if not inside:
-            continue
-        scale = _solid(part) / inside  # signs between tokens belong to the tokens, in proportion
-        for kind, x in found:
-            tokens.append(KINDS.get(kind) or word(x))
-            weight.append(len(x) * scale)
-            free.append(open_)
-    repeats = Automaton.of(tokens).repeats
-    covered = bytearray(len(tokens))
-    upto = len(tokens)
-    for i in range(len(tokens) - 1, -1, -1):
+    least_tokens = max(2, round(2 * math.log(max(2, len(keys))) / TOKEN_NATS))
+    repeats = Automaton.of(keys).repeats
+    covered = bytearray(len(keys))
+    upto = len(keys)
+    for i in range(len(keys) - 1, -1, -1):
         n = repeats[i]
-        if n >= LEAST_TOKENS or n and weight[i] >= LEAST_REPEAT or n and tokens[i] in LISTED:
+        if n >= least_tokens or n and (weight[i] >= LEAST_REPEAT and n >= least_tokens - 1 or keys[i] in LISTED):
             for j in range(min(i, upto - 1), i - n, -1):
                 covered[j] = 1
             upto = min(upto, i - n + 1)
-    # items that a count follows are a list of keywords, even those that come once
-    start = 0
-    items = tokens.count("<count>")
-    for i, t in enumerate(tokens):
-        if t == "<count>" and items >= LEAST_ITEMS:
-            if i - start <= 6:
-                covered[start:i] = b"\1" * (i - start)
-            start = i + 1
-        elif not free[i]:
-            start = i + 1
-    chars = sum(w for w, c, f in zip(weight, covered, free) if c and f)
+    chars = 0.0
+    for p in parts:
+        if p.loose:
+            n = sum(weight[i] for i in range(p.first, p.past) if covered[i])
+            chars += n + (LIST * (p.size - n) if p.listed else 0.0)
     return chars / total, int(chars)
 
 

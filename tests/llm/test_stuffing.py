@@ -1,6 +1,9 @@
 """Suffix automata and stuffed pages."""
 
+import codecs
+import pathlib
 import random
+import textwrap
 
 import pytest
 
@@ -50,6 +53,50 @@ FINE = {
 }
 
 
+SPAM["one sentence again and again"] = "Buy the best kinase inhibitor online at our shop and get free shipping today. " * 20
+
+
+def license_text(name):
+    path = pathlib.Path("/usr/share/common-licenses") / name
+    if not path.is_file():
+        pytest.skip("no such text here")
+    return path.read_text(errors="ignore")
+
+
+@pytest.mark.parametrize("name", ["GPL-3", "Apache-2.0", "LGPL-2.1", "MPL-2.0", "BSD"])
+def test_prose_in_any_language_wrapped_or_not(name):
+    text = license_text(name)
+    joined = "\n\n".join(" ".join(p.split()) for p in text.split("\n\n"))
+    wrapped = "\n\n".join(textwrap.fill(p, 72) for p in joined.split("\n\n"))
+    for t in (text, joined, wrapped):
+        assert S.stuffed_share(t)[0] < S.SHARE
+        assert S.stuffed_share(codecs.encode(t, "rot13"))[0] < S.SHARE
+
+
+def test_manual_pages_are_no_spam():
+    topics = pytest.importorskip("pydoc_data.topics").topics
+    assert [k for k, t in topics.items() if S.stuffed_share(t)[0] >= S.SHARE] == []
+
+
+@pytest.mark.parametrize("ends", [True, False])
+def test_the_length_of_a_page_does_not_decide(ends):
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("aeioubcdfglmnprst") for _ in range(rng.randint(2, 9))) for _ in range(20_000)]
+    for n in (300, 1000, 3000, 10_000):
+        words = rng.choices(vocabulary, [1 / (i + 1) for i in range(len(vocabulary))], k=n)
+        sentences = [" ".join(words[i : i + 15]).capitalize() for i in range(0, n, 15)]
+        assert S.stuffed_share((". " if ends else " ").join(sentences) + ".")[0] < 0.2
+        keywords = [rng.choice(vocabulary[:30]) + " " + rng.choice(vocabulary[30:34]) for _ in range(n // 2)]
+        assert S.stuffed_share(" ".join(keywords))[0] >= S.SHARE
+
+
+def test_wrapped_lines_are_joined_and_lists_are_not():
+    text = "The ligand library was split into parts, each of them with at most as many entries as a worker holds in its memory."
+    assert S.unwrapped(textwrap.fill(text, 50).split("\n")) == [text]
+    items = ["buy compound online", "best screening", "cheap assay kit with free shipping today"]
+    assert S.unwrapped(items) == items
+
+
 @pytest.mark.parametrize("name", SPAM)
 def test_stuffed(name):
     share, n = S.stuffed_share(SPAM[name])
