@@ -25,25 +25,47 @@ def test_skeleton():
     assert S.skeleton("((((") == "((((" and S.skeleton("(C)") == ""
 
 
-def test_edit_bound_matches_the_plain_distance():
-    def plain(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-            row = new
-        return row[-1]
+def test_only_small_groups_are_removed():
+    ring = "CCC(CC(=O)N1CCOCC1CCCCCCCC(=O)NCCCCc2ccccc2)CCO"
+    assert S.skeleton(ring) == "CCC(CCN1CCOCC1CCCCCCCCNCCCCc2ccccc2)CCO" != S.skeleton("CCC(F)CCO")
+    assert S.skeleton("CC(CCCCCCCC)C") == "CCC" and S.skeleton("CC(CCCCCCCCC)C") == "CC(CCCCCCCCC)C"
+    assert S.skeleton("CC(C(C)(C)C(C)(C)C)C") == "CCC" and S.skeleton("CC(CCCC(CCC(C)C)C)C") == "CC(CCCCC)C"
 
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def within_edits(a, b):
+    most = S.edits_allowed(max(len(a), len(b)))
+    return a == b or abs(len(a) - len(b)) <= most and distance(a, b) <= most
+
+
+def test_bounds_hold_for_every_edit(spark):
     rng = random.Random(2)
+    rows = []
     for _ in range(400):
-        a = "".join(rng.choice("ab") for _ in range(rng.randint(1, 30)))
+        a = "".join(rng.choice("CcNnOoSs12=#(") for _ in range(rng.randint(1, 90)))
         b = list(a)
-        for _ in range(rng.randint(0, 4)):
+        for _ in range(rng.randint(0, 6)):
             k = rng.randint(0, len(b))
-            b[k : k + rng.randint(0, 1)] = rng.choice(["", "a", "b"])
-        b = "".join(b) or "a"
-        assert S.within_edits(a, b) == (plain(a, b) <= S.edits_allowed(max(len(a), len(b))))
+            b[k : k + rng.randint(0, 1)] = rng.choice(["", "C", "Br", "1"])
+        rows.append((a, "".join(b) or "C"))
+    df = spark.createDataFrame(rows, "a string, b string")
+    most = S.allowed(F.greatest(F.length("a"), F.length("b")))
+    got = df.select("a", "b", most.alias("most"), S.counts_apart(S.counts(F.col("a")), S.counts(F.col("b"))).alias("apart"), F.expr("levenshtein(a, b)").alias("d")).withColumn("near", F.expr("levenshtein(a, b, most) >= 0")).collect()
+    for r in got:
+        assert r.most == S.edits_allowed(max(len(r.a), len(r.b))) and r.apart <= 2 * r.d and r.d == distance(r.a, r.b) and r.near == (r.d <= r.most)
+
+
+def test_recall_at_the_threshold():
+    assert 1 - (1 - S.THRESHOLD**S.ROWS) ** S.BANDS >= 0.9
 
 
 def test_minhash_estimates_jaccard():
@@ -58,7 +80,7 @@ def brute(items, threshold=S.THRESHOLD):
     out = set()
     for i, (a, x) in enumerate(items):
         for b, y in items[:i]:
-            if x == y or S.jaccard(S.shingles(x), S.shingles(y)) >= threshold and S.within_edits(x, y):
+            if x == y or S.jaccard(S.shingles(x), S.shingles(y)) >= threshold and within_edits(x, y):
                 out.add((min(a, b), max(a, b)))
     return out
 
@@ -110,10 +132,25 @@ def test_loose_groups_are_split_around_medoids(spark):
 
 def test_large_buckets_are_paired_by_blocks(spark, monkeypatch):
     monkeypatch.setattr(S, "BLOCK", 4)
-    banded = spark.range(30).select(F.col("id").alias("item"), F.lit(50).alias("size"), F.lit(1).cast("long").alias("band"))
+    banded = spark.range(30).select(F.col("id").alias("item"), F.lit(50).alias("size"), F.lit(7).cast("long").alias("counts"), F.lit(1).cast("long").alias("band"))
     assert S.candidates(banded).count() == 30 * 29 // 2
 
 
+def test_copies_of_a_skeleton_are_paired_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 4)
+    text = chain(random.Random(3), 8)
+    rows = [(i, text + ".Cl" * (i % 3)) for i in range(25)] + [(100 + i, text[:20] + "O" + text[20:]) for i in range(11)]
+    got = [tuple(r) for r in S.SmilesClusters(spark.createDataFrame(rows, "cid long, SMILES string")).pairs().collect()]
+    assert len(got) == len(set(got)) == 36 * 35 // 2 and all(a < b for a, b in got)
+
+
+def test_a_long_chain_is_split_in_few_rounds(spark):
+    df = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit(1.0).alias("similarity"))
+    members = spark.range(61).select(F.col("id").alias("item"), F.lit(0).cast("long").alias("component"))
+    got = {r.item: r.cluster for r in S.split_loose(members, df).collect()}
+    assert sorted(got) == list(range(61)) and all(abs(i - c) <= 1 for i, c in got.items())
+
+
 def test_empty_table(spark):
     done = S.SmilesClusters(spark.createDataFrame([], "cid long, SMILES string"))
     assert done.pairs().count() == 0 and done.summary().count() == 0
