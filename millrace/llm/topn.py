@@ -1,104 +1,160 @@
 """Top N items of every group, by bounded heaps that merge.
 
-Each task keeps the best N rows of every group it has met, batch by batch, and
-sends those only; rows that meet behind the shuffle are merged the same way.  A
-group of any size sends at most N rows a task and flush, so no task gathers it.
+Each task keeps a heap of at most N items for every group it has met, with the
+worst item at the root: an item enters by comparison with the root alone.  The
+heaps, not the rows, are shuffled; those of one group are merged behind the
+shuffle the same way.  A group of any size sends at most N rows a task and
+flush, so no task gathers it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from heapq import heappush, heappushpop
+from itertools import count
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.functions.nulls import norm_id
 
-#: Rows a task holds before its heaps go out (a group may then go out more than once, which merging allows).
+#: Rows a task holds in its heaps before they go out (a group may then go out more than once, which merging allows).
 HELD_ROWS = 200_000
-_KEYS = "__group"
 
 
-def _best(rows: pd.DataFrame, n: int, ascending: list[bool], order: list[str]) -> pd.DataFrame:
-    """The N best rows of each group: the bounded heaps, kept sorted."""
-    rows = rows.sort_values([_KEYS, *order], ascending=[True, *ascending], kind="stable", na_position="last")
-    return rows[rows.groupby(_KEYS, sort=False).cumcount() < n]
+class Backwards:
+    """A value that compares the other way round, for types that have no negative."""
 
+    __slots__ = ("value",)
 
-def _heaps(n: int, order: list[str], ascending: list[bool]):
-    """Before the shuffle: the best rows so far of every group of the task."""
+    def __init__(self, value: object) -> None:
+        self.value = value
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        waiting: list[pd.DataFrame] = []
-        size = 0
+    def __eq__(self, other: object) -> bool:
+        return self.value == other.value
+
+    def __lt__(self, other: Backwards) -> bool:
+        return other.value < self.value
+
+
+def _last(value: object, numeric: bool) -> tuple:
+    """An ascending field as a key whose greater is the better: small values first, then NaN, then NULL.  Numbers keep their type."""
+    if value is None:
+        return (0,)
+    if value != value:
+        return (1,)
+    return (2, -value if numeric else Backwards(value))
+
+
+class Heaps:
+    """Bounded heaps of rows by group; ``n_keys`` leading fields are the group, then score, ties and the unique field."""
+
+    def __init__(self, n: int, n_keys: int, numeric: Sequence[bool]) -> None:
+        self.n, self.n_keys, self.numeric = n, n_keys, numeric
+        self.heaps: dict[tuple, list] = {}
+        self.rows = 0
+        self.arrival = count()
+
+    def add(self, row: tuple) -> None:
+        at = self.n_keys
+        group, score = row[:at], row[at]
+        heap = self.heaps.get(group)
+        if heap is None:
+            heap = self.heaps[group] = []
+        elif len(heap) == self.n and score < heap[0][0][0]:
+            return  # worse than the worst that is kept
+        key = (score, *map(_last, row[at + 1 :], self.numeric))
+        # the order of arrival keeps rows that agree in every field apart; it never decides which values are kept
+        item = (key, -next(self.arrival), row)
+        if len(heap) < self.n:
+            heappush(heap, item)
+            self.rows += 1
+        else:
+            heappushpop(heap, item)
+
+    def drain(self) -> Iterator[list[tuple]]:
+        """The rows of each group, best first; the heaps are empty afterwards."""
+        for heap in self.heaps.values():
+            yield [row for _, _, row in sorted(heap, reverse=True)]
+        self.heaps, self.rows = {}, 0
+
+
+def _tuples(batch: pa.RecordBatch) -> Iterator[tuple]:
+    return zip(*(c.to_pylist() for c in batch.columns))
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _early(n: int, n_keys: int, numeric: list[bool], schema: pa.Schema):
+    """Before the shuffle: the heaps of all groups of the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heaps = Heaps(n, n_keys, numeric)
+        for batch in batches:
+            for row in _tuples(batch):
+                heaps.add(row)
+            if heaps.rows > HELD_ROWS:
+                yield _batch([r for rows in heaps.drain() for r in rows], schema)
+        if heaps.rows:
+            yield _batch([r for rows in heaps.drain() for r in rows], schema)
+
+    return run
+
+
+def _merged(n: int, n_keys: int, numeric: list[bool], schema: pa.Schema):
+    """Behind the shuffle: rows come sorted by group, so closed groups go out with their ranks after each batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heaps = Heaps(n, n_keys, numeric)
         for batch in batches:
-            if batch.empty:
-                continue
-            waiting.append(batch)
-            size += len(batch)
-            if size >= HELD_ROWS // 2:
-                held = _best(pd.concat(([held] if held is not None else []) + waiting, ignore_index=True), n, ascending, order)
-                waiting, size = [], 0
-                if len(held) > HELD_ROWS:
-                    yield held
-                    held = None
-        if waiting or held is not None:
-            held = _best(pd.concat(([held] if held is not None else []) + waiting, ignore_index=True), n, ascending, order)
-            yield held
+            last = None
+            for row in _tuples(batch):
+                heaps.add(row)
+                last = row[:n_keys]
+            open_ = heaps.heaps.pop(last, None)
+            out = [(*r, i) for rows in heaps.drain() for i, r in enumerate(rows)]
+            if open_:
+                heaps.heaps[last], heaps.rows = open_, len(open_)
+            if out:
+                yield _batch(out, schema)
+        out = [(*r, i) for rows in heaps.drain() for i, r in enumerate(rows)]
+        if out:
+            yield _batch(out, schema)
 
     return run
 
 
 def top_n(df: DataFrame, keys: Sequence[str], score: str, unique: str, n: int = 5, ties: Sequence[str] = (), rank: str = "rank") -> DataFrame:
-    """``keys``, ``ties``, ``score``, ``unique`` and ``rank`` (from 0) of the N rows of greatest score of each group.
+    """``keys``, ``score``, ``ties``, ``unique`` and ``rank`` (from 0) of the N rows of greatest score of each group.
 
-    Equal scores are decided by ``ties`` and then ``unique``, ascending, NULLs
-    last, so every run gives the same rows.  Rows with a NULL in a key, and rows
-    with a NULL or NaN score, are never chosen.  Repeated rows all count.  Extra
-    columns are not carried: join them by ``unique`` where they are wanted.
+    Equal scores are decided by ``ties`` and then ``unique``, ascending, NaN and
+    NULL last, so every run gives the same rows.  All fields keep their types and
+    values (whole numbers are compared exactly).  Rows with a NULL in a key, and
+    rows with a NULL or NaN score, are never chosen.  Repeated rows all count.
+    Extra columns are not carried: join them by ``unique`` where they are wanted.
     """
     if n < 1:
         raise ValueError("n must be positive")
-    order = ["__score", *(f"__tie{i}" for i in range(len(ties))), "__unique"]
-    ascending = [False, *[True] * len(ties), True]
-    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    known = F.col(score).isNotNull()
+    if isinstance(df.schema[score].dataType, (T.DoubleType, T.FloatType)):
+        known = known & ~F.isnan(score)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    # a group is named by a text that no other group has: each key with its length
-    group = F.concat_ws("", *(F.concat(F.length(F.col(k).cast("string")), F.lit(":"), F.col(k).cast("string")) for k in keys))
-    slim = df.where(known).select(
-        group.alias(_KEYS), (F.col(score).cast("double") + F.lit(0.0)).alias("__score"), *(F.col(t).cast("double").alias(f"__tie{i}") for i, t in enumerate(ties)), F.col(unique).alias("__unique"),
-        *(F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)),
-    )
-    schema = slim.schema
-    early = slim.mapInPandas(_heaps(n, order, ascending), schema)
-    merged = early.repartition(_KEYS).sortWithinPartitions(_KEYS).mapInPandas(_groups(n, order, ascending, rank), T.StructType([*schema, T.StructField(rank, T.IntegerType())]))
-    return merged.select(
-        *(F.col(f"__key{i}").alias(k) for i, k in enumerate(keys)), F.col("__score").alias(score), *(F.col(f"__tie{i}").cast(df.schema[t].dataType).alias(t) for i, t in enumerate(ties)), F.col("__unique").alias(unique), rank
-    )
-
-
-def _groups(n: int, order: list[str], ascending: list[bool], rank: str):
-    """Merging behind the shuffle: rows come sorted by group, so only the last group of a batch is open."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry: pd.DataFrame | None = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            rows = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
-            best = _best(rows, n, ascending, order)
-            open_ = best[_KEYS] == batch[_KEYS].iloc[-1]
-            carry, closed = best[open_], best[~open_]
-            if len(closed):
-                yield closed.assign(**{rank: closed.groupby(_KEYS, sort=False).cumcount().astype("int32")})
-        if carry is not None:
-            yield carry.assign(**{rank: carry.groupby(_KEYS, sort=False).cumcount().astype("int32")})
-
-    return run
+    names = [f"__k{i}" for i in range(len(keys))]
+    fields = [*keys, score, *ties, unique]
+    held = [*names, "__score", *(f"__t{i}" for i in range(len(ties))), "__unique"]
+    slim = df.where(known).select(*(F.col(f).alias(h) for f, h in zip(fields, held)))
+    numeric = [isinstance(df.schema[c].dataType, T.NumericType) for c in (*ties, unique)]
+    early = slim.mapInArrow(_early(n, len(keys), numeric, to_arrow_schema(slim.schema)), slim.schema)
+    ranked = T.StructType([*slim.schema, T.StructField(rank, T.IntegerType())])
+    merged = early.repartition(*names).sortWithinPartitions(*names).mapInArrow(_merged(n, len(keys), numeric, to_arrow_schema(ranked)), ranked)
+    return merged.select(*(F.col(h).alias(f) for f, h in zip(fields, held)), rank)
 
 
 def top_poses(poses: DataFrame, n: int = 5) -> DataFrame:

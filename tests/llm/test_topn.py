@@ -44,3 +44,21 @@ def test_repeats_empty_and_arguments(spark):
     assert T.top_poses(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         T.top_n(df, ["protein_id"], "CNNscore", "pose_id", 0)
+
+
+def test_whole_numbers_are_compared_and_returned_exactly(spark):
+    big = 2**53
+    rows = [("g", big + 1, "b", 10, None), ("g", big, "a", 11, "x"), ("g", big + 1, None, 12, "y"), ("g", big + 1, "a", 13, "z")]
+    df = spark.createDataFrame(rows, "k string, score long, name string, id long, extra string")
+    got = [tuple(r) for r in T.top_n(df, ["k"], "score", "id", 3, ["name"]).orderBy("rank").collect()]
+    assert got == [("g", big + 1, "a", 13, 0), ("g", big + 1, "b", 10, 1), ("g", big + 1, None, 12, 2)]
+
+
+def test_a_heap_holds_n_rows_whatever_comes():
+    h = T.Heaps(3, 1, [True])
+    rng = random.Random(5)
+    rows = [("g", rng.randint(0, 50), i) for i in range(5000)]
+    for r in rows:
+        h.add(r)
+        assert len(h.heaps["g",]) <= 3 and h.rows <= 3
+    assert list(h.drain()) == [sorted(rows, key=lambda r: (-r[1], r[2]))[:3]]
