@@ -54,12 +54,13 @@ DIGIT_LETTERS = {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "@"
 _INVISIBLE = regex.compile(r"[\p{Cf}­͏ᅟᅠ឴឵ㅤ]+")
 _URL = regex.compile(r"(?:https?://|www\.)[^\s<>\"'()\[\]|,;»]+|(?<![\w./@-])(?:[\p{L}\d-]+\.)+\p{L}{2,}(?![\w-])(?:/[^\s<>\"'()\[\]|,;»]*)?", regex.I)
 _TOKEN = regex.compile(rf"(?P<url>{_URL.pattern})|(?P<hash>#[\w]+)|(?P<code>\b\p{{L}}{{1,6}}-?\d[\d-]+\b|\b\d[\d_]*_\d+\b)|(?P<number>\d+(?:[.,:]\d+)*(?!\p{{L}}))|(?P<han>[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])|(?P<word>[^\W_\p{{Han}}\p{{Hiragana}}\p{{Katakana}}](?:[^\W\p{{Han}}\p{{Hiragana}}\p{{Katakana}}]|['’])*)", regex.I)
-_FIGURE = re.compile(r"\d+")
+#: Words as the structure of a sentence needs them, and what may be a link or a tag.
+_WORDS, _DOTTED = re.compile(r"\b[^\W\d_][^\W_]*(?:['’][^\W\d_]+)?"), re.compile(r"://|\w\.\w|#\w")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _SENTENCE = re.compile(r"(?:[^.!?。！？]|[.!?](?![\s\"'”’).!?]|$))++(?:[.!?。！？]+[\"'”’)]*)?|[.!?。！？]+")
 _ENDS = tuple(".!?。！？…")
 #: Signs that stand between the items of a list.
-_SIGNS = regex.compile(r"[,;|•·»«:>/★☆]|(?<=\s)[-–—*+~](?=\s)|、|\(\s*\d+\s*\)")
+_SIGNS = re.compile(r"[,;|•·»«:>/★☆]|(?<=\s)[-–—*+~](?=\s)|、|\(\s*\d+\s*\)")
 #: Blanks between the characters of a script that writes none.
 _GAP = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]\s+[\p{Han}\p{Hiragana}\p{Katakana}]")
 #: Record lines that a pattern at their start tells: time stamps, references, settings, comments, numbered paths.
@@ -99,7 +100,8 @@ def is_record(line: str) -> bool:
 
 def plain(text: str) -> str:
     """Without disguise: compatibility forms, no invisible characters, Latin letters for lookalikes, one line end."""
-    text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
+    if not text.isascii():
+        text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
     return text.replace("\r\n", "\n").replace("\r", "\n")
 
 
@@ -174,44 +176,48 @@ class Automaton:
         return cls([longest[s] for s in prefix])
 
 
-def unwrapped(lines: list[str]) -> list[str]:
-    """Lines that a paragraph was broken into are one again: in a run of lines each but the last is followed by a word
-    that would not have fitted into the run's width."""
-    out: list[str] = []
+def unwrapped(lines: list[str]) -> list[tuple[str, bool]]:
+    """Lines and whether they are records.  Lines that a paragraph was broken into are one again: in a run of lines each
+    but the last is followed by a word that would not have fitted into the run's width."""
+    out: list[tuple[str, bool]] = []
     run: list[str] = []
 
     def close() -> None:
         if len(run) > 1:
             width = max(map(len, run))
             if width >= 40 and all(len(x) + 1 + len(y.split(None, 1)[0]) > width for x, y in zip(run, run[1:])):
-                out.append(" ".join(x.strip() for x in run))
+                out.append((" ".join(x.strip() for x in run), False))
                 run.clear()
                 return
-        out.extend(run)
+        out.extend((x, False) for x in run)
         run.clear()
 
     for line in lines:
-        if not line.strip() or is_record(line):
+        if not line or line.isspace():
+            close()
+            continue
+        if is_record(line):
             close()
-            out.append(line)
-        else:
-            if run and len(line) - len(line.lstrip()) > len(run[-1]) - len(run[-1].lstrip()) + 3:
-                close()  # a deeper indent starts something else
-            run.append(line.rstrip())
+            out.append((line, True))
+            continue
+        if run and len(line) - len(line.lstrip()) > len(run[-1]) - len(run[-1].lstrip()) + 3:
+            close()  # a deeper indent starts something else
+        run.append(line.rstrip())
     close()
     return out
 
 
-@dataclass
+@dataclass(slots=True)
 class Sentence:
-    """A sentence with the place of its tokens."""
+    """A sentence or record: its characters, whether it is a clause by its structure, a list, and loose (neither clause nor record); the place of its tokens."""
 
     text: str
-    first: int
-    past: int
     size: int
+    clause: bool
+    listed: bool
     loose: bool
-    listed: bool = False
+    first: int = 0
+    past: int = 0
 
 
 def _ends(text: str) -> bool:
@@ -252,33 +258,36 @@ def _next_outside(after: list[int], i: int, past: int) -> int:
     return j
 
 
-def _signs(text: str) -> int:
-    """List signs outside links."""
-    return len(_SIGNS.findall(_URL.sub(" ", text) if "." in text else text))
-
-
-def _looks_like_a_clause(text: str, kinds: list[str], keys: list[str]) -> bool:
-    """Structure within the sentence: enough words, most of them different, few links, tags and list signs."""
-    words = [k for k, kind in zip(keys, kinds) if kind in ("word", "han")]
+def _structure(text: str) -> tuple[bool, bool]:
+    """(clause, list) by the structure within the sentence: a clause has enough words, most of them different, few links,
+    tags and list signs; a list has many such signs."""
+    links, bare = 0, text
+    if _DOTTED.search(text):
+        bare, links = _URL.subn(" ", text)
+        links += bare.count("#")
+    signs = len(_SIGNS.findall(bare))
+    words = _WORDS.findall(bare.lower())
+    if not bare.isascii():
+        if han := _CJK.findall(bare):
+            n = len(han) + sum(not _CJK.search(w) for w in words)
+            if len(han) > n / 2:
+                pairs = list(zip(han, han[1:]))
+                fine = n >= 6 and links <= n / 2 and signs <= n / 6 and len(_GAP.findall(bare)) <= len(han) / 12 and len(set(pairs)) > 0.6 * len(pairs)
+                return fine, signs > SIGNS * n
+        words = [word(w) for w in words]
     n = len(words)
-    if n < 4:
-        return False
-    links = sum(kind in ("url", "hash") for kind in kinds)
-    if links > n / 2:
-        return False
-    han = sum(kind == "han" for kind in kinds)
-    if han > n / 2:
-        return n >= 6 and _signs(text) <= n / 6 and len(_GAP.findall(text)) <= han / 12 and len(set(zip(words, words[1:]))) > 0.6 * (n - 1)
-    if _signs(text) > (SIGNS if _ends(text) else SIGNS_OPEN) * n:
-        return False
+    if n < 4 or links > n / 2:
+        return False, signs > SIGNS * max(1, n)
+    if signs > (SIGNS if _ends(text) else SIGNS_OPEN) * n:
+        return False, signs > SIGNS * n
     # long sentences repeat words: means over windows do not depend on the length
     size = min(n, WINDOW)
     windows = [words[i : i + size] for i in range(0, n - size + 1, max(1, size // 2))]
     different = sum(len(set(w)) for w in windows) / (size * len(windows))
     if different < DIFFERENT and (different < DIFFERENT_GLUED or sum(len(w) <= 3 for w in words) < GLUE * n):
-        return False
+        return False, False
     twice = sum(2 * c for w in windows for c in Counter(zip(w, w[1:])).values() if c > 1) if different < 1 else 0
-    return twice <= TWICE * size * len(windows)
+    return twice <= TWICE * size * len(windows), False
 
 
 def _solid(text: str) -> int:
@@ -293,44 +302,47 @@ def stuffed_share(text: str | None, least: float = 0.0) -> tuple[float, int]:
     (0, 0), as do pages of which less than ``least`` lies outside clauses and
     records: no repetition could bring them to that share, so their automaton
     isn't needed.  What no repeat covers counts a quarter in a list of items.
-    Repeats must be longer than those that chance brings about in
-    natural text of the page's length.
+    Repeats must be longer than those that chance brings about in natural text
+    of the page's length.
     """
     if not text or not text.strip():
         return 0.0, 0
-    total = loose = 0
-    keys: list[str] = []
-    weight: list[float] = []
     parts: list[Sentence] = []
-    judged: list[int] = []
-    for line in unwrapped(plain(text).split("\n")):
+    total = 0
+    for line, record in unwrapped(plain(text).split("\n")):
         size = _solid(line)
-        if not size:
-            continue
         total += size
-        record = is_record(line)
-        for m in (line,) if record else _SENTENCE.findall(line):
-            solid = size if record else _solid(m)
-            found = [(x.lastgroup, x[0]) for x in _TOKEN.finditer(m)]
-            inside = sum(len(x) for _, x in found)
-            first = len(keys)
-            if inside:
-                scale = solid / inside  # signs between tokens belong to the tokens, in proportion
-                for kind, x in found:
-                    keys.append(KINDS.get(kind) or word(x))
-                    weight.append(len(x) * scale)
-            parts.append(Sentence(m, first, len(keys), solid, not record, not record and _signs(m) > SIGNS * max(1, len(found) - len(_FIGURE.findall(m)))))
-            if not record and _looks_like_a_clause(m, [k for k, _ in found], keys[first:]):
-                judged.append(len(parts) - 1)
-    said = Counter(" ".join(parts[w].text.split()) for w in judged)
-    judged = [w for w in judged if said[" ".join(parts[w].text.split())] < SAID]
-    open_ = [w for w in judged if not _ends(parts[w].text)]
+        if record:
+            parts.append(Sentence(line, size, False, False, False))
+            continue
+        for m in _SENTENCE.findall(line):
+            clause, listed = _structure(m)
+            parts.append(Sentence(m, _solid(m), clause, listed, not clause))
+    said = Counter(" ".join(p.text.split()) for p in parts if p.clause)
+    if said and max(said.values()) >= SAID:
+        for p in parts:
+            if p.clause and said[" ".join(p.text.split())] >= SAID:
+                p.clause, p.loose = False, True
+    open_ = [i for i, p in enumerate(parts) if p.clause and not _ends(p.text)]
+    most = sum(p.size for p in parts if p.loose) + sum(parts[i].size for i in open_)
+    if not total or not most or most < least * total:
+        return 0.0, 0
+    keys: list[str] = []
+    weight: list[float] = []
+    for p in parts:
+        found = [(x.lastgroup, x[0]) for x in _TOKEN.finditer(p.text)]
+        p.first = len(keys)
+        if found:
+            scale = p.size / sum(len(x) for _, x in found)  # signs between tokens belong to the tokens, in proportion
+            for kind, x in found:
+                keys.append(KINDS.get(kind) or word(x))
+                weight.append(len(x) * scale)
+        p.past = len(keys)
     nearby = _said_nearby(keys, parts, open_) if open_ else {}
-    for w in judged:
-        p = parts[w]
-        p.loose = w in nearby and (p.past - p.first < PLAIN_WORDS or nearby[w] > AGAIN_OPEN)
+    for i in open_:
+        parts[i].loose = parts[i].past - parts[i].first < PLAIN_WORDS or nearby[i] > AGAIN_OPEN
     loose = sum(p.size for p in parts if p.loose)
-    if not total or not loose or loose < least * total:
+    if not loose or loose < least * total:
         return 0.0, 0
     least_tokens = max(2, round(2 * math.log(max(2, len(keys))) / TOKEN_NATS))
     repeats = Automaton.of(keys).repeats

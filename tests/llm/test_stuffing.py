@@ -92,9 +92,9 @@ def test_the_length_of_a_page_does_not_decide(ends):
 
 def test_wrapped_lines_are_joined_and_lists_are_not():
     text = "The ligand library was split into parts, each of them with at most as many entries as a worker holds in its memory."
-    assert S.unwrapped(textwrap.fill(text, 50).split("\n")) == [text]
+    assert S.unwrapped(textwrap.fill(text, 50).split("\n")) == [(text, False)]
     items = ["buy compound online", "best screening", "cheap assay kit with free shipping today"]
-    assert S.unwrapped(items) == items
+    assert S.unwrapped(items) == [(x, False) for x in items]
 
 
 @pytest.mark.parametrize("name", SPAM)
