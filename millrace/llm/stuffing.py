@@ -55,7 +55,7 @@ _INVISIBLE = regex.compile(r"[\p{Cf}­͏ᅟᅠ឴឵ㅤ]+")
 _URL = regex.compile(r"(?:https?://|www\.)[^\s<>\"'()\[\]|,;»]+|(?<![\w./@-])(?:[\p{L}\d-]+\.)+\p{L}{2,}(?![\w-])(?:/[^\s<>\"'()\[\]|,;»]*)?", regex.I)
 _TOKEN = regex.compile(rf"(?P<url>{_URL.pattern})|(?P<hash>#[\w]+)|(?P<code>\b\p{{L}}{{1,6}}-?\d[\d-]+\b|\b\d[\d_]*_\d+\b)|(?P<number>\d+(?:[.,:]\d+)*(?!\p{{L}}))|(?P<han>[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])|(?P<word>[^\W_\p{{Han}}\p{{Hiragana}}\p{{Katakana}}](?:[^\W\p{{Han}}\p{{Hiragana}}\p{{Katakana}}]|['’])*)", regex.I)
 #: Words as the structure of a sentence needs them, and what may be a link or a tag.
-_WORDS, _DOTTED = re.compile(r"\b[^\W\d_][^\W_]*(?:['’][^\W\d_]+)?"), re.compile(r"://|\w\.\w|#\w")
+_WORDS, _DOTTED = re.compile(r"\b[^\W\d_][^\W_]*(?:['’][^\W\d_]+)?"), re.compile(r"://|\w\.[^\W\d]|#\w")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _SENTENCE = re.compile(r"(?:[^.!?。！？]|[.!?](?![\s\"'”’).!?]|$))++(?:[.!?。！？]+[\"'”’)]*)?|[.!?。！？]+")
 _ENDS = tuple(".!?。！？…")
