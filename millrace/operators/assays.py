@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.nulls import blank_to_null, norm_outcome
 from millrace.operators.ranking import last_wins
 from millrace.schemas import CONVERTIBLE, property_type
+from millrace.session import cut
 
 
 def with_outcome(df: DataFrame, outcome: str, column: str = "outcome") -> DataFrame:
@@ -120,7 +121,8 @@ def keep_reasons(blocks: DataFrame, flags: DataFrame, title: str = "title") -> D
     Titles of structure ligands are looked up by their candidates, others by
     the number before ``_``, in one equi-join each.
     """
-    b = blocks.withColumn("__row", F.monotonically_increasing_id()).withColumn("__cand", title_candidates(title))
+    # frozen, since the row numbers of a frame that is computed twice may differ
+    b = cut(blocks.withColumn("__row", F.monotonically_increasing_id())).withColumn("__cand", title_candidates(title))
     f = flags.select(F.col("cid").cast("string").alias("__id"), "usable", "known", "excluded")
     looked = b.select("__row", F.explode(F.when(F.size("__cand") > 0, F.col("__cand")).otherwise(F.array(F.substring_index(title, "_", 1)))).alias("__id"))
     found = looked.join(f, "__id").groupBy("__row").agg(*(F.max(c).alias(c) for c in ("usable", "known", "excluded")))

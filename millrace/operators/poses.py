@@ -70,14 +70,14 @@ def best_rows(df: DataFrame, keys: Sequence[str], score: str = "CNNscore", tie:
 
 
 def summary_text(df: DataFrame, per: str = "global", name: str = "") -> str:
-    """A short report; groups are few per file, so the aggregate is formatted on the driver."""
+    """A report of one file's poses; its groups come to the driver partition by partition."""
     keys = [] if per == "global" else level_keys(per)
     if per not in ("global", "ligand", "protomer"):
         raise ValueError("per is global, ligand or protomer")
     lines = [f"File: {name}"] if name else []
     n = counts(df).first().asDict()
     lines += [f"{k}: {v}" for k, v in n.items()]
-    for row in score_ranges(df, keys).orderBy(*keys).collect():
+    for row in score_ranges(df, keys).orderBy(*keys).toLocalIterator():
         r = row.asDict()
         lines.append(", ".join(f"{k}={r[k]}" for k in keys) or "all poses")
         lines += [f"  {c}: {r[f'{c}_min']:.4f} to {r[f'{c}_max']:.4f}" for c in SCORE_DIRECTIONS if r[f"{c}_min"] is not None]
@@ -111,12 +111,19 @@ def new_proteins(df: DataFrame, existing: DataFrame) -> DataFrame:
     return df.join(existing.select("protein_id").distinct(), "protein_id", "left_anti")
 
 
+#: Rows up to which a slice is taken by keeping the least rows of every task; a deeper one ranks all rows by range.
+SLICED_ROWS = 1_000_000
+
+
 def row_slice(df: DataFrame, order: Sequence[str], start: int = 0, end: int | None = None) -> DataFrame:
-    """Rows ``[start, end)`` of the order, clamped at both ends."""
+    """Rows ``[start, end)`` of the order (unique), clamped at both ends."""
+    start = max(0, start)
+    if end is not None and end <= SLICED_ROWS:
+        return df.orderBy(*order).limit(max(0, end)).offset(start)
     from millrace.functions.ranks import rank_within
 
     ranked = rank_within(df.withColumn("__g", F.lit(0)), ["__g"], list(order), "__rank")
-    test = F.col("__rank") >= max(0, start)
+    test = F.col("__rank") >= start
     return ranked.where(test & (F.col("__rank") < end) if end is not None else test).drop("__rank", "__g")
 
 

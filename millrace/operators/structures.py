@@ -45,28 +45,14 @@ def fixed_columns(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def render_atoms(atoms: DataFrame) -> DataFrame:
-    """``line``: atom rows in columns, with fewer decimals where a number is too wide."""
-    return atoms.withColumn(
-        "line",
-        F.concat(
-            F.rpad("record", 6, " "),
-            F.lpad(F.col("serial").cast("string"), 5, " "),
-            F.lit(" "),
-            F.when(F.length("name") < 4, F.concat(F.lit(" "), F.rpad("name", 3, " "))).otherwise(F.col("name")),
-            F.lit(" "),
-            F.rpad("resname", 3, " "),
-            F.lit(" "),
-            F.coalesce("chain", F.lit(" ")),
-            F.lpad(F.col("resseq").cast("string"), 4, " "),
-            F.rpad(F.coalesce("icode", F.lit("")), 1, " "),
-            F.lit("   "),
-            fixed_number("x", 8, 3, False),
-            fixed_number("y", 8, 3),
-            fixed_number("z", 8, 3),
-            fixed_number("charge", 8, 4),
-            fixed_number("radius", 7, 4),
-        ),
-    )
+    """``line``: atom rows in columns.  Coordinates shed decimals where they are too wide; every other field is padded and
+    never cut, so a number of too many digits moves what follows.  Residue names stand on the right, a name of four signs
+    or with a digit first begins a column earlier; NULL chains and insertion letters are blanks."""
+    whole = (F.length("name") >= 4) | F.col("name").rlike("^[0-9]")
+    name = F.when(whole, F.format_string("%-4s", "name")).otherwise(F.format_string(" %-3s", "name"))
+    head = F.format_string("%-6s%5d %s %3s %1s%4d%1s   ", "record", "serial", name, "resname", F.coalesce("chain", F.lit(" ")), "resseq", F.coalesce("icode", F.lit(" ")))
+    numbers = (fixed_number("x", 8, 3, False), fixed_number("y", 8, 3), fixed_number("z", 8, 3), fixed_number("charge", 8, 4), fixed_number("radius", 7, 4))
+    return atoms.withColumn("line", F.concat(head, *numbers))
 
 
 def fixed_number(c: Column | str, width: int, decimals: int, gap: bool = True) -> Column:

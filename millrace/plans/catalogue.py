@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import affinity as aff
 from millrace.functions.nulls import blank_to_null, lenient_double, norm_outcome, strict_long
 from millrace.operators import assays, clusters, heavy_keys, poses, ranking, similarity, structures
+from millrace.schemas import WATERS
 from millrace.session import fresh_path
 from millrace.session import table as t
 from millrace.sources import json_docs, parquet_store, sdf, tables
@@ -469,7 +470,16 @@ def butina_clusters(s: SparkSession, d: str) -> DataFrame:
     return similarity.butina(items, similarity.tanimoto_edges(items, 0.5)).select("item", "cluster_id", "representative")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE f AS (SELECT vec_id, label, list_filter(range(0, len(embedding)), lambda i: embedding[i + 1] > 0) AS s FROM embeddings),
+    e AS (SELECT a.vec_id AS i, b.vec_id AS j FROM f a JOIN f b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE 1.0::DOUBLE - len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s))) <= 0.5::DOUBLE),
+    p AS (SELECT f.vec_id AS id, f.label, count(e.j) AS d, coalesce(list(e.j) FILTER (WHERE e.j IS NOT NULL), []) AS nb FROM f LEFT JOIN e ON e.i = f.vec_id GROUP BY 1, 2),
+    o AS (SELECT *, row_number() OVER (ORDER BY d DESC, id DESC) AS rn FROM p),
+    r AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS seen, -1::BIGINT AS cen UNION ALL
+      SELECT k + 1, CASE WHEN list_contains(seen, o.id) THEN seen ELSE list_concat(seen, list_append(o.nb, o.id)) END, CASE WHEN list_contains(seen, o.id) THEN -1 ELSE o.id END FROM r JOIN o ON o.rn = r.k + 1),
+    c AS (SELECT cen, row_number() OVER (PARTITION BY o.label ORDER BY k) AS cid FROM r JOIN o ON o.id = r.cen WHERE cen >= 0)
+    SELECT o.label, o.id AS item, min(c.cid) AS cluster_id FROM o JOIN c ON c.cen = o.id OR list_contains(o.nb, c.cen) GROUP BY 1, 2"""
+)
 def group_clusters(s: SparkSession, d: str) -> DataFrame:
     """Butina within each label."""
     return similarity.cluster_groups(_bits(s, d), "label", "item", "bits", 0.5)
@@ -509,12 +519,94 @@ def run_blocks(s: SparkSession, d: str) -> DataFrame:
     return structures.runs(t(s, d, "events"), "user_id", "event_id", ["event_type"]).select("event_id", "run")
 
 
-@query()
+_ATOM_INT = r"CASE WHEN regexp_matches({0}, '^[+-]?[0-9]+$') THEN try_cast({0} AS BIGINT) END"
+
+
+def _part(first: int, past: int) -> str:
+    return f"trim(substr(line, {first + 1}, {past - first}))"
+
+
+@query(
+    f"""SELECT line_id, {_part(0, 6)} AS record, {_ATOM_INT.format(_part(6, 11))} AS serial, {_part(12, 16)} AS name, {_part(17, 20)} AS resname, substr(line, 22, 1) AS chain,
+    {_ATOM_INT.format(_part(22, 26))} AS resseq, {_part(26, 27)} AS icode, try_cast({_part(30, 38)} AS DOUBLE) AS x, try_cast({_part(38, 46)} AS DOUBLE) AS y, try_cast({_part(46, 54)} AS DOUBLE) AS z,
+    CASE WHEN {_part(76, 78)} <> '' THEN upper({_part(76, 78)}) ELSE substr(regexp_replace({_part(12, 16)}, '[^A-Za-z]', '', 'g'), 1, 1) END AS element
+    FROM pqr_lines WHERE (starts_with(line, 'ATOM') OR starts_with(line, 'HETATM')) AND length(line) > 26"""
+)
 def atom_columns(s: SparkSession, d: str) -> DataFrame:
     """Atom lines by fixed columns."""
     return structures.fixed_columns(t(s, d, "pqr_lines").select("line_id", "line"))
 
 
+# ------------------------------------------------------ membership and titles
+_K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+_FLAGS = """SELECT cid, bool_or(hit AND affinity > 0 AND type IN {types} AND NOT blocked) AS usable, bool_or(hit) AS known, bool_or(high) AND NOT bool_or(fine) AS excluded
+    FROM (SELECT *, bool_or(high) OVER {w} AND NOT bool_or(fine) OVER {w} AS blocked FROM ({rows})) GROUP BY cid"""
+_EVENT_ROWS = f"""SELECT event_id, user_id AS cid, {_K} % 25 IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) AS hit, value - 20 AS affinity, event_type AS type,
+    {_K} % 13 > 10 AS high, {_K} % 13 <= 10 AS fine FROM events WHERE user_id IS NOT NULL"""
+
+
+def _event_flags(s: SparkSession, d: str, order: str | None) -> DataFrame:
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    rows = t(s, d, "events").select(
+        "event_id", F.col("user_id").alias("cid"), (k % 25).alias("gene_id"), (F.col("value") - 20).alias("affinity"), F.col("event_type").alias("type"), (k % 13).cast("int").alias("rotatable_bonds")
+    )
+    genes = t(s, d, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("gene_id"))
+    return assays.membership_flags(rows, genes, 10, ("purchase", "view"), order)
+
+
+@query(_FLAGS.format(types="('purchase', 'view')", w="(PARTITION BY cid)", rows=_EVENT_ROWS))
+def eligibility_sets(s: SparkSession, d: str) -> DataFrame:
+    """Flags per key from all its rows."""
+    return _event_flags(s, d, None)
+
+
+@query(_FLAGS.format(types="('purchase', 'view')", w="(PARTITION BY cid ORDER BY event_id ROWS UNBOUNDED PRECEDING)", rows=_EVENT_ROWS))
+def eligibility_running(s: SparkSession, d: str) -> DataFrame:
+    """Flags per key, where the bond test sees the rows up to the current one only."""
+    return _event_flags(s, d, "event_id")
+
+
+_READING_ROWS = f"""SELECT cid, coalesce(trim(target_geneid) IN (SELECT target_geneid FROM targets WHERE protein_kind = 'kinase'), false) AS hit, {_VALUE} AS affinity, activity_name AS type,
+    measurement_id % 14 > 10 AS high, measurement_id % 14 <= 10 AS fine FROM measurements WHERE cid IS NOT NULL"""
+
+
+@query(
+    f"""WITH f AS ({_FLAGS.format(types="('IC50', 'Ki', 'Kd', 'EC50')", w="(PARTITION BY cid)", rows=_READING_ROWS)}),
+    b AS (SELECT pose_id, ligand_id AS title, coalesce(regexp_matches(ligand_id, '^[A-Za-z0-9]{{3}}_[A-Za-z0-9]{{4}}(?:_copy_\\d+)?$'), false) AS structure FROM poses),
+    r AS (SELECT CASE WHEN structure THEN 'kept_structure' WHEN coalesce(f.usable, false) THEN 'kept_affinity' WHEN coalesce(f.known, false) THEN 'drop_known' ELSE 'drop_unknown' END AS reason
+      FROM b LEFT JOIN f ON NOT structure AND CAST(f.cid AS VARCHAR) = string_split(title, '_')[1])
+    SELECT count(*) AS total, count(*) FILTER (starts_with(reason, 'kept')) AS kept, count(*) FILTER (NOT starts_with(reason, 'kept')) AS dropped,
+    count(*) FILTER (starts_with(reason, 'kept')) / greatest(count(*), 1) AS kept_share FROM r"""
+)
+def keep_drop_counters(s: SparkSession, d: str) -> DataFrame:
+    """Poses kept and dropped by what is known of their ligand."""
+    rows = t(s, d, "measurements").select(
+        "cid", F.trim("target_geneid").alias("gene_id"), lenient_double("activity_value").alias("affinity"), F.col("activity_name").alias("type"), (F.col("measurement_id") % 14).cast("int").alias("rotatable_bonds")
+    )
+    genes = t(s, d, "targets").where("protein_kind = 'kinase'").select(F.col("target_geneid").alias("gene_id"))
+    flags = assays.membership_flags(rows, genes, 10, ("IC50", "Ki", "Kd", "EC50"))
+    return assays.counters(assays.keep_reasons(t(s, d, "poses").select("pose_id", F.col("ligand_id").alias("title")), flags))
+
+
+@query("SELECT vec_id, CAST(k AS INTEGER) AS atom, " + ", ".join(f"CAST(format('{{:.4f}}', embedding[3 * k + {i}]::DOUBLE) AS DOUBLE) AS {c}" for i, c in enumerate("xyz", 1)) + " FROM (SELECT vec_id, embedding, unnest(range(0, 21)) AS k FROM embeddings)")
+def coords_explode(s: SparkSession, d: str) -> DataFrame:
+    """Each vector as a block of 21 atom lines, of which the coordinates are read."""
+    lines = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda k: F.concat_ws(" ", *(F.format_string("%.4f", F.element_at("embedding", (3 * k + i).cast("int")).cast("double")) for i in (1, 2, 3)), F.lit("C")))
+    block = F.concat(F.lit("title\n\n\n 21  0  0  V2000\n"), F.array_join(lines, "\n"), F.lit("\nM  END\n"))
+    blocks = t(s, d, "embeddings").select("vec_id", block.alias("block"))
+    return blocks.select("vec_id", F.posexplode(sdf.coordinates("block")).alias("atom", "p")).select("vec_id", "atom", "p.x", "p.y", "p.z")
+
+
+@query(
+    f"""SELECT DISTINCT source_file, {_part(17, 20)} AS resname FROM pqr_lines WHERE starts_with(line, 'HETATM') AND {_part(0, 6)} = 'HETATM' AND length(line) > 26 AND length({_part(17, 20)}) = 3
+    AND {_part(17, 20)} NOT IN ('GOL', 'EDO', 'SO4', {", ".join(f"'{w}'" for w in WATERS)})"""
+)
+def impurity_antijoin(s: SparkSession, d: str) -> DataFrame:
+    """Names of hetero residues that are neither water nor a listed impurity."""
+    atoms = structures.fixed_columns(t(s, d, "pqr_lines").select("source_file", "line"))
+    return structures.ligand_names(atoms, ("GOL", "EDO", "SO4"))
+
+
 # -------------------------------------------------------- batches and limits
 @query(
     """SELECT protein_id, batch, 'bt_' || batch || '_' || min(protein_id) OVER (PARTITION BY batch) || '_' || max(protein_id) OVER (PARTITION BY batch) || '.parquet' AS file_name FROM

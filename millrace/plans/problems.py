@@ -77,6 +77,8 @@ QUERIES = {
 
 _INT_KEY = "try_cast(nullif(regexp_extract(trim({c}), '^(?:[A-Za-z][A-Za-z _.-]*[:#=]?\\s*)?([+-]?[0-9]+)(?:\\.0*)?$', 1), '') AS bigint)"
 
+_TEXT = "nullif(regexp_replace(activity_value, '^\\s+|\\s+$', '', 'g'), '')"
+
 ORACLE = {
     "p3_found": """
         SELECT pose_id FROM (SELECT pose_id, min(pose_id) OVER (PARTITION BY nullif(upper(trim(protein_id)), ''), nullif(upper(trim(ligand_id)), ''), UniqueID, conformer_idx, pose_rank, SMILES, n_atoms,
@@ -85,4 +87,11 @@ ORACLE = {
         f"SELECT '{c}' AS key_field, k AS key_value FROM (SELECT {_INT_KEY.format(c=c)} AS k, count(*) AS n FROM measurements GROUP BY 1) WHERE k IS NOT NULL AND n > 0.04 * (SELECT count(*) FROM measurements)"
         for c in ("aid", "target_geneid")
     ),
+    "p4_profile": " UNION ALL ".join(
+        f"""SELECT '{c}' AS key_field, k AS key_value, count(*) AS n_rows, count(DISTINCT cid) AS n_compounds,
+        {", ".join(f"count(*) FILTER (o = '{o}') AS n_{o}" for o in ("active", "inactive", "inconclusive", "unspecified"))}, count(v) AS n_values,
+        {", ".join(f"quantile_disc(v, {q / 100}) AS q{q}" for q in (25, 50, 75))}
+        FROM (SELECT {_INT_KEY.format(c=c)} AS k, cid, lower(trim(outcome)) AS o, CASE WHEN isfinite(try_cast({_TEXT} AS DOUBLE)) THEN try_cast({_TEXT} AS DOUBLE) END AS v FROM measurements) WHERE k IS NOT NULL GROUP BY k"""
+        for c in ("aid", "target_geneid")
+    ),
 }

@@ -340,3 +340,27 @@ def test_commands(spark):
     pairs = rows(spark, [("r.pdb", "a.sdf"), ("r.pdb", "b.sdf"), ("r.pqr", "a.sdf")], "receptor string, ligand string")
     got = [r.command for r in dock_commands(pairs, {"seed": 1}).collect()]
     assert "--out a_docked.sdf.gz" in got[0] and "--out b_docked.sdf.gz" in got[1] and got[2] is None
+
+
+def test_rendered_atoms_lose_no_digit(spark):
+    from millrace.operators import structures
+
+    rows = [
+        ("ATOM", 123456, "N", "PHE", "A", 12345, None, -8.834, 3.827, -18.279, -0.78, 1.5),
+        ("HETATM", 7, "1HB2", "NA", None, 7, "B", 1.0, -100.168, 2.0, 0.0, 0.0),
+        ("ATOM", 8, "2H", "LIGX", "B", 1, None, 1.0, 2.0, 3.0, 0.1, 1.0),
+    ]
+    df = spark.createDataFrame(rows, "record string, serial long, name string, resname string, chain string, resseq long, icode string, x double, y double, z double, charge double, radius double")
+    got = [r.line for r in structures.render_atoms(df).orderBy("record", "serial").collect()]
+    assert got[0] == "ATOM      8 2H   LIGX B   1       1.000   2.000   3.000  0.1000 1.0000"
+    assert got[1] == "ATOM  123456  N   PHE A12345      -8.834   3.827 -18.279 -0.7800 1.5000"
+    assert got[2].startswith("HETATM    7 1HB2  NA     7B      1.000 -100.17   2.000")
+
+
+def test_slices_are_clamped(spark):
+    from millrace.operators import poses
+
+    df = spark.range(20).selectExpr("19 - id AS id")
+    assert [r.id for r in poses.row_slice(df, ["id"], -3, 4).collect()] == [0, 1, 2, 3]
+    assert [r.id for r in poses.row_slice(df, ["id"], 18, 99).collect()] == [18, 19]
+    assert poses.row_slice(df, ["id"], 5, 2).count() == 0 and sorted(r.id for r in poses.row_slice(df, ["id"], 17).collect()) == [17, 18, 19]
