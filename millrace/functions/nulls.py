@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,3 +56,18 @@ def norm_outcome(c: Column | str) -> Column:
 def norm_id(c: Column | str) -> Column:
     """Identifier for comparison: trimmed, upper case, NULL where blank."""
     return F.upper(blank_to_null(c))
+
+
+def has_letter(c: Column | str) -> Column:
+    """Whether an identifier holds a letter of any script; NULL holds none."""
+    return F.coalesce(col(c).rlike(r"\p{L}"), F.lit(False))
+
+
+def all_digits(c: Column | str) -> Column:
+    """Whether a text is digits of any script and nothing else; NULL and blank texts are not."""
+    return F.coalesce(col(c).rlike(r"^\p{Nd}+$"), F.lit(False))
+
+
+def ordered_distinct(names: Iterable[str]) -> list[str]:
+    """Each name once, in the order of first sight."""
+    return list(dict.fromkeys(names))

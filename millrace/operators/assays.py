@@ -143,3 +143,20 @@ def counters(reasons: DataFrame) -> DataFrame:
 def valued(df: DataFrame, value: str = "activity_value") -> DataFrame:
     """Rows whose value text isn't blank."""
     return df.where(blank_to_null(value).isNotNull())
+
+
+def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
+    """``key, seen``: each value once, with the least ``order`` it came with; sort by ``seen`` for the order of first sight."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("seen"))
+
+
+#: Reasons that ``keep_reasons`` gives.
+REASONS = ("kept_affinity", "kept_structure", "drop_excluded", "drop_known", "drop_unknown")
+
+
+def reason_counters(reasons: DataFrame, *per: str) -> DataFrame:
+    """Counts of all rows and of each reason, per file or in all, with the kept share guarded against 0; sums of files are sums of rows."""
+    each = [F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in REASONS]
+    out = reasons.groupBy(*per).agg(F.count("*").alias("total"), *each)
+    kept = F.col("kept_affinity") + F.col("kept_structure")
+    return out.withColumn("kept", kept).withColumn("dropped", F.col("total") - kept).withColumn("kept_share", kept / F.greatest(F.col("total"), F.lit(1)))

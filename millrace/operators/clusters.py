@@ -54,3 +54,14 @@ def coverage(rows: DataFrame, key: str, *columns: str) -> DataFrame:
 def distinct_with_null(column: str, name: str):  # noqa: ANN201
     """Distinct values where NULL counts as one value."""
     return (F.count_distinct(column) + F.max(F.when(F.col(column).isNull(), 1).otherwise(0))).alias(name)
+
+
+def ligands_of_cluster(rows: DataFrame, item: str, keys: Sequence[str], ligand: str) -> DataFrame:
+    """``item, ligands``: for each item the sorted distinct ligands of all items of its cluster.
+
+    A cluster's list is built once and met by its items in an equi-join, so its
+    members are not paired with each other; items without a cluster keep theirs out.
+    """
+    known = rows.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    lists = known.where(F.col(ligand).isNotNull()).groupBy(*keys).agg(F.sort_array(F.collect_set(ligand)).alias("ligands"))
+    return known.select(item, *keys).distinct().join(lists, list(keys)).select(item, "ligands")

@@ -129,3 +129,16 @@ def row_slice(df: DataFrame, order: Sequence[str], start: int = 0, end: int | No
 
 def number_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+
+
+def take(df: DataFrame, order: Sequence[str], places: Sequence[int]) -> DataFrame:
+    """The rows at the given places (from 0) of the order (unique); places beyond the end give none."""
+    from millrace.functions.ranks import rank_within
+
+    ranked = rank_within(df.withColumn("__g", F.lit(0)), ["__g"], list(order), "__rank")
+    return ranked.where(F.col("__rank").isin([int(p) for p in places])).drop("__rank", "__g")
+
+
+def mode_summary(modes: DataFrame, keys: Sequence[str] = ("ligand_id", "UniqueID")) -> DataFrame:
+    """``num_modes, n_groups, example``: how many groups have each number of modes, with the first of them."""
+    return modes.groupBy("num_modes").agg(F.count("*").alias("n_groups"), F.min(F.struct(*keys)).alias("example"))
