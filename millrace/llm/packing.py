@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from millrace.session import cut
 
 #: Items of a shard (about), islands of a shard, members of an island, epochs, generations of an epoch.
-SHARD_ITEMS, ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 1500, 3, 6, 2, 8
+SHARD_ITEMS, ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 1500, 3, 6, 4, 8
 #: Containers filled below this are packed once more.
 WELL_FILLED = 0.97
 
@@ -78,6 +78,11 @@ def mutate(bins: Bins, sizes: list[int], capacity: int, rng: random.Random) -> B
     return best_fit(loose, sizes, capacity, rest)
 
 
+def lower_bound(sizes: list[int], capacity: int) -> int:
+    """Containers that any packing needs: by the sum of sizes, and by those that can't share one."""
+    return max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes))
+
+
 def encode(bins: Bins, n: int) -> list[int]:
     where = [0] * n
     for k, b in enumerate(bins):
@@ -103,11 +108,11 @@ def evolve(sizes: list[int], capacity: int, population: list[Bins], rng: random.
             noisy = sorted(range(n), key=lambda i: -sizes[i] * rng.uniform(0.7, 1.3))
             population.append(best_fit(noisy, sizes, capacity, []))
     scored = sorted(((fitness(p, sizes, capacity), k, p) for k, p in enumerate(population)), key=lambda t: (-t[0], t[1]))
-    bound = -(-sum(sizes) // capacity)
+    bound = lower_bound(sizes, capacity)
     for _ in range(generations):
         best = scored[0][2]
-        if len(best) <= bound and fitness(best, sizes, capacity) > 0.995:
-            break
+        if len(best) <= bound:
+            break  # no packing has fewer containers
         pairs = [rng.sample(scored, 2) if len(scored) > 1 else [scored[0], scored[0]] for _ in range(MEMBERS // 2)]
         children = [mutate(crossover(x[2], y[2], sizes, capacity, rng), sizes, capacity, rng) for x, y in pairs]
         scored += [(fitness(c, sizes, capacity), 0, c) for c in children]
@@ -151,6 +156,17 @@ def _pack(items: DataFrame, capacity: int, seed: int) -> DataFrame:
     return placed.select("z.items.key", "z.items.size", "shard", F.col("z.bins").alias("bin"))
 
 
+def fill_report(packed: DataFrame, capacity: int) -> DataFrame:
+    """One row: ``n_items, n_containers, lower_bound, fill``: containers used, those that the sum of sizes needs at least, and
+    the used part of the room (NULL where nothing is packed)."""
+    per = packed.groupBy("container").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    total = F.coalesce(F.sum("size"), F.lit(0))
+    return per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_items"), F.count("*").alias("n_containers"), F.ceil(total / capacity).cast("bigint").alias("lower_bound"),
+        F.try_divide(total.cast("double"), F.count("*") * F.lit(capacity)).alias("fill"),
+    )
+
+
 def pack_items(items: DataFrame, id_col: str, size_col: str, capacity: int) -> DataFrame:
     """``id_col, piece, size, container`` of every item.
 

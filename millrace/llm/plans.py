@@ -58,6 +58,11 @@ def p9_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_items(sizes, "doc_id", "n_tokens", CAPACITY)
 
 
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers used, the least number that is possible by the sum of sizes, and the used part of the room."""
+    return packing.fill_report(p9_packed(spark, sf_dir), CAPACITY)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuffing.stuffed_pages(_texts(spark, sf_dir))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p9_packed": p9_packed,
+    "p9_fill": p9_fill,
     "p10_found": p10_found,
 }
 

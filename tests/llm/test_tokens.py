@@ -102,3 +102,25 @@ def test_packing_edges(spark):
     assert P.pack_items(empty.union(spark.createDataFrame([(1, 10)], "doc_id long, n long")), "doc_id", "n", 10).select(F.sum("size")).first()[0] == 10
     with pytest.raises(ValueError):
         P.pack_items(empty, "doc_id", "n", 0)
+
+
+def test_evolution_beats_best_fit_where_that_is_not_optimal():
+    rng = random.Random(1)
+    sizes, cap = [], 1000
+    for _ in range(20):  # three items fill a container
+        a = rng.randint(380, 490)
+        b = rng.randint(251, 749 - a)
+        sizes += [a, b, cap - a - b]
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    alone, population = P.best_fit(order, sizes, cap, []), []
+    for epoch in range(P.EPOCHS):
+        population = P.evolve(sizes, cap, population, random.Random(epoch), 20)
+    best = population[0]
+    assert P.lower_bound(sizes, cap) == 20 <= len(best) < len(alone)
+    assert sorted(i for b in best for i in b) == list(range(60)) and max(sum(sizes[i] for i in b) for b in best) <= cap
+
+
+def test_fill_report(spark):
+    df = spark.createDataFrame([("a", 6), ("a", 4), ("b", 5)], "container string, size long")
+    assert P.fill_report(df, 10).first()[:] == (3, 2, 2, 0.75)
+    assert P.fill_report(df.limit(0), 10).first()[:] == (0, 0, 0, None)
