@@ -399,13 +399,12 @@ def line_chunks(s: SparkSession, d: str) -> DataFrame:
 @query("SELECT doc_id, regexp_replace(l, '^>+|\\s+$', '', 'g') AS header FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE starts_with(l, '>')")
 def sequence_headers(s: SparkSession, d: str) -> DataFrame:
     lines = t(s, d, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("value"))
-    return lines.where(F.col("value").startswith(">")).select("doc_id", F.regexp_replace("value", r"^>+|\s+$", "").alias("header"))
+    return tables.fasta_headers(lines, keep=["doc_id"])
 
 
 @query("SELECT SMILES || ' ' || cid || '_' || cache_part AS value FROM compounds WHERE SMILES IS NOT NULL AND SMILES <> '' AND cache_part IS NOT NULL")
 def smiles_lines(s: SparkSession, d: str) -> DataFrame:
-    rows = t(s, d, "compounds")
-    return rows.where("SMILES IS NOT NULL AND SMILES <> '' AND cache_part IS NOT NULL").select(F.concat("SMILES", F.lit(" "), F.col("cid").cast("string"), F.lit("_"), "cache_part").alias("value"))
+    return tables.smiles_lines(t(s, d, "compounds"), "SMILES", "cid", "cache_part")
 
 
 _TRIMMED = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"

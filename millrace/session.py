@@ -25,13 +25,13 @@ SETTINGS = {
 
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with SETTINGS; ``conf`` keys use double underscores for dots."""
+    """A session with SETTINGS whose executors have the package; ``conf`` keys use double underscores for dots."""
     builder = SparkSession.builder.appName(app).config(map=SETTINGS)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +36,10 @@ def load_assay(dump: DataFrame, aid: int | str) -> DataFrame:
     return dump.where(F.col("AID") == str(aid))
 
 
-def fasta_headers(lines: DataFrame, delimiter: str | None = None, line: str = "value") -> DataFrame:
-    """``header`` of each sequence, up to the delimiter if one is given."""
+def fasta_headers(lines: DataFrame, delimiter: str | None = None, line: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``header`` of each sequence, up to the delimiter if one is given, behind the columns to keep."""
     text = F.regexp_replace(F.col(line), r"^>+|\s+$", "")
-    return lines.where(F.col(line).startswith(">")).select((F.substring_index(text, delimiter, 1) if delimiter else text).alias("header"))
+    return lines.where(F.col(line).startswith(">")).select(*keep, (F.substring_index(text, delimiter, 1) if delimiter else text).alias("header"))
 
 
 def fasta_text(sequences: DataFrame, key: str, sequence: str, order: str) -> DataFrame:
@@ -60,7 +62,7 @@ def list_column(c: Column | str) -> Column:
 
 def smiles_lines(rows: DataFrame, smiles: str = "smiles", cid: str = "actives", tag: str = "pubmed") -> DataFrame:
     """``value``: ``{smiles} {cid}_{tag}``; rows without a structure or tag are left out."""
-    ok = F.col(smiles).isNotNull() & (F.col(smiles) != "") & F.col(tag).isNotNull() & ~F.isnan(F.col(tag).cast("double"))
+    ok = F.col(smiles).isNotNull() & (F.col(smiles) != "") & F.col(tag).isNotNull() & ~F.coalesce(F.isnan(F.col(tag).try_cast("double")), F.lit(False))
     return rows.where(ok).select(F.concat_ws("", F.col(smiles), F.lit(" "), F.col(cid).cast("string"), F.lit("_"), F.col(tag).cast("string")).alias("value"))
 
 
