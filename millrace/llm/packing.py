@@ -3,7 +3,8 @@
 Items are dealt to shards of bounded size by hash.  Each shard is packed by
 several islands; an island is one row of a table and evolves a small population
 inside a task.  Between epochs the elite of each island moves to the next island
-of its shard (a join on shard and island).  Crossover puts well-filled
+of its shard: islands and elites are rows of one shuffle by shard and island.
+Crossover puts well-filled
 containers of one parent into the other, drops the containers that hold an item
 twice and places the displaced items by best fit.  What the shards leave in
 poorly filled containers is dealt and packed once more.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import random
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,55 +29,100 @@ SHARD_ITEMS, ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 1500, 3, 6, 4, 8
 WELL_FILLED = 0.97
 
 Bins = list[list[int]]
+#: Containers and what each holds.
+Packing = tuple[Bins, list[int]]
+#: A container's room and its place in one number: room << SHIFT | place.
+SHIFT, PLACE = 32, (1 << 32) - 1
 
 
-def best_fit(items: list[int], sizes: list[int], capacity: int, bins: Bins) -> Bins:
-    """Places ``items`` in the given order, each into the fullest container with room."""
-    rooms = sorted((capacity - sum(sizes[i] for i in b), k) for k, b in enumerate(bins))
+def _place(items: list[int], sizes: list[int], capacity: int, bins: Bins, loads: list[int]) -> None:
+    """Places ``items`` in the given order, each into the fullest container with room; ``loads`` are the filled sizes of ``bins``."""
+    rooms = sorted([(capacity - load << SHIFT) + k for k, load in enumerate(loads)])
     for i in items:
-        at = bisect_left(rooms, (sizes[i], -1))
+        size = sizes[i] << SHIFT
+        at = bisect_left(rooms, size)
         if at == len(rooms):
-            bins.append([i])
-            insort(rooms, (capacity - sizes[i], len(bins) - 1))
+            rooms.append(-1)  # the largest room, so far
+            room = (capacity << SHIFT) + len(bins)
+            bins.append([])
+            loads.append(0)
         else:
-            room, k = rooms.pop(at)
-            bins[k].append(i)
-            insort(rooms, (room - sizes[i], k))
+            room = rooms[at]
+        del rooms[at]
+        room -= size
+        bins[room & PLACE].append(i)
+        insort(rooms, room, 0, at)
+    for room in rooms:
+        loads[room & PLACE] = capacity - (room >> SHIFT)
+
+
+def _loads(bins: Bins, sizes: list[int]) -> list[int]:
+    return [sum([sizes[i] for i in b]) for b in bins]
+
+
+def best_fit(items: list[int], sizes: list[int], capacity: int, bins: Bins) -> Bins:
+    """Places ``items`` in the given order, each into the fullest container with room."""
+    _place(items, sizes, capacity, bins, _loads(bins, sizes))
     return bins
 
 
+def _fitness(loads: list[int], capacity: int) -> float:
+    return sum([x * x for x in loads]) / (capacity * capacity * max(1, len(loads)))
+
+
 def fitness(bins: Bins, sizes: list[int], capacity: int) -> float:
     """Mean square of the fill: of two packings into as many containers, that with the emptier leftovers is better."""
-    return sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins) / max(1, len(bins))
+    return _fitness(_loads(bins, sizes), capacity)
 
 
-def crossover(a: Bins, b: Bins, sizes: list[int], capacity: int, rng: random.Random) -> Bins:
-    """Child of ``a`` with well-filled containers of ``b``."""
-    ranked = sorted(b, key=lambda x: -sum(sizes[i] for i in x))
+def _by_size(sizes: list[int]) -> list[int]:
+    """Items from the largest on."""
+    return sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+
+
+def _cross(a: Packing, b: Packing, sizes: list[int], capacity: int, rank: list[int], rng: random.Random) -> Packing:
+    (a_bins, a_loads), (b_bins, b_loads) = a, b
+    ranked = sorted(range(len(b_bins)), key=b_loads.__getitem__, reverse=True)
     top = ranked[: max(1, len(ranked) // 2)]
-    chosen = [list(x) for x in top if rng.random() < 0.5] or [list(top[0])]
-    taken = {i for x in chosen for i in x}
-    child, displaced = chosen, []
-    for x in a:
+    chosen = [k for k in top if rng.random() < 0.5] or top[:1]
+    bins, loads = [b_bins[k].copy() for k in chosen], [b_loads[k] for k in chosen]
+    taken = set(chain.from_iterable(bins))
+    displaced = []
+    for x, load in zip(a_bins, a_loads):
         if taken.isdisjoint(x):
-            child.append(list(x))
+            bins.append(x.copy())
+            loads.append(load)
         else:
             displaced += [i for i in x if i not in taken]
-    displaced.sort(key=lambda i: (-sizes[i], i))
-    return best_fit(displaced, sizes, capacity, child)
+    displaced.sort(key=rank.__getitem__)
+    _place(displaced, sizes, capacity, bins, loads)
+    return bins, loads
 
 
-def mutate(bins: Bins, sizes: list[int], capacity: int, rng: random.Random) -> Bins:
-    """Dissolves the emptiest container and some others, and places their items again."""
+def crossover(a: Bins, b: Bins, sizes: list[int], capacity: int, rng: random.Random) -> Bins:
+    """Child of ``a`` with well-filled containers of ``b``."""
+    rank = _inverse(_by_size(sizes))
+    return _cross((a, _loads(a, sizes)), (b, _loads(b, sizes)), sizes, capacity, rank, rng)[0]
+
+
+def _dissolve(own: Packing, sizes: list[int], capacity: int, rng: random.Random) -> Packing:
+    """``mutate`` of a packing that nobody else holds."""
+    bins, loads = own
     if len(bins) < 2:
-        return bins
-    order = sorted(range(len(bins)), key=lambda k: sum(sizes[i] for i in bins[k]))
-    gone = {order[0], *rng.sample(range(len(bins)), min(len(bins), max(1, len(bins) // 20)))}
+        return own
+    gone = {loads.index(min(loads)), *rng.sample(range(len(bins)), min(len(bins), max(1, len(bins) // 20)))}
     loose = [i for k in gone for i in bins[k]]
-    rest = [list(b) for k, b in enumerate(bins) if k not in gone]
+    rest = [b for k, b in enumerate(bins) if k not in gone]
+    loads = [x for k, x in enumerate(loads) if k not in gone]
     rng.shuffle(loose)
     loose.sort(key=lambda i: -(sizes[i] // 8))
-    return best_fit(loose, sizes, capacity, rest)
+    _place(loose, sizes, capacity, rest, loads)
+    return rest, loads
+
+
+def mutate(bins: Bins, sizes: list[int], capacity: int, rng: random.Random) -> Bins:
+    """Dissolves the emptiest container and some others, and places their items again."""
+    return _dissolve(([list(b) for b in bins], _loads(bins, sizes)), sizes, capacity, rng)[0]
 
 
 def lower_bound(sizes: list[int], capacity: int) -> int:
@@ -98,62 +145,91 @@ def decode(where: list[int]) -> Bins:
     return list(bins.values())
 
 
+def _inverse(order: list[int]) -> list[int]:
+    """The place of every item in ``order``."""
+    rank = [0] * len(order)
+    for k, i in enumerate(order):
+        rank[i] = k
+    return rank
+
+
 def evolve(sizes: list[int], capacity: int, population: list[Bins], rng: random.Random, generations: int) -> list[Bins]:
-    """The population after some generations, best first; the best member never gets worse."""
+    """The population after some generations, best first; the best member never gets worse.  Of a population that reaches
+    the lower bound only that member is left."""
     n = len(sizes)
-    order = sorted(range(n), key=lambda i: (-sizes[i], i))
+    order = _by_size(sizes)
     if not population:
         population = [best_fit(order, sizes, capacity, [])]
         while len(population) < MEMBERS:
-            noisy = sorted(range(n), key=lambda i: -sizes[i] * rng.uniform(0.7, 1.3))
+            key = [-s * rng.uniform(0.7, 1.3) for s in sizes]
+            noisy = sorted(range(n), key=key.__getitem__)
             population.append(best_fit(noisy, sizes, capacity, []))
-    scored = sorted(((fitness(p, sizes, capacity), k, p) for k, p in enumerate(population)), key=lambda t: (-t[0], t[1]))
-    bound = lower_bound(sizes, capacity)
+    held = [(p, _loads(p, sizes)) for p in population]
+    scored = sorted([(_fitness(p[1], capacity), p) for p in held], key=lambda t: -t[0])
+    bound, rank = lower_bound(sizes, capacity), _inverse(order)
     for _ in range(generations):
-        best = scored[0][2]
-        if len(best) <= bound:
+        if len(scored[0][1][0]) <= bound:
             break  # no packing has fewer containers
         pairs = [rng.sample(scored, 2) if len(scored) > 1 else [scored[0], scored[0]] for _ in range(MEMBERS // 2)]
-        children = [mutate(crossover(x[2], y[2], sizes, capacity, rng), sizes, capacity, rng) for x, y in pairs]
-        scored += [(fitness(c, sizes, capacity), 0, c) for c in children]
+        children = [_dissolve(_cross(x[1], y[1], sizes, capacity, rank, rng), sizes, capacity, rng) for x, y in pairs]
+        scored += [(_fitness(c[1], capacity), c) for c in children]
         scored = sorted(scored, key=lambda t: -t[0])[:MEMBERS]
-    return [p for _, _, p in scored]
+    if len(scored[0][1][0]) <= bound:
+        scored = scored[:1]
+    return [p[0] for _, p in scored]
+
+
+#: Rows of an epoch: the islands, and (without sizes) the elites that move to them, as the only member of ``population``.
+#: ``population`` has the container of each item, ``loads`` (after the last epoch) what the best member's containers hold.
+_STATE = "shard long, island int, sizes array<long>, population array<array<int>>, fitness double, loads array<long>"
 
 
 def _epoch(capacity: int, epoch: int):
+    def island(shard: int, number: int, sizes: list[int], population: list, guest) -> Iterator[tuple]:
+        members = [w.tolist() for w in population]
+        if guest is not None:
+            members.append(guest.tolist())
+        bins = [decode(w) for w in members]
+        bins = evolve(sizes, capacity, bins, random.Random(f"{shard}.{number}.{epoch}"), GENERATIONS)
+        best, held = encode(bins[0], len(sizes)), _loads(bins[0], sizes)
+        if epoch + 1 == EPOCHS:
+            yield shard, number, sizes, [best], _fitness(held, capacity), held
+            return
+        yield shard, number, sizes, [best, *(encode(m, len(sizes)) for m in bins[1:])], None, None
+        yield shard, (number + 1) % ISLANDS, None, [best], None, None
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        guest = None  # it stands before its island
         for d in batches:
             out = []
-            for shard, island, sizes, population, guest in zip(d["shard"], d["island"], d["sizes"], d["population"], d["guest"]):
-                sizes = [int(s) for s in sizes]
-                members = [decode(list(w)) for w in population] + ([decode(list(guest))] if guest is not None and len(guest) else [])
-                members = evolve(sizes, capacity, members, random.Random(f"{shard}.{island}.{epoch}"), GENERATIONS)
-                out.append((shard, island, sizes, [encode(m, len(sizes)) for m in members], fitness(members[0], sizes, capacity)))
-            yield pd.DataFrame(out, columns=["shard", "island", "sizes", "population", "fitness"])
+            for shard, number, sizes, population in zip(d["shard"], d["island"], d["sizes"], d["population"]):
+                if sizes is None:
+                    guest = population[0]
+                    continue
+                out += island(shard, number, sizes.tolist(), population, guest)
+                guest = None
+            yield pd.DataFrame(out, columns=["shard", "island", "sizes", "population", "fitness", "loads"])
 
     return run
 
 
 def _pack(items: DataFrame, capacity: int, seed: int) -> DataFrame:
-    """``key..., size, shard, bin`` of items that fit a container."""
+    """``key..., size, shard, bin, load`` of items that fit a container; ``load`` is what the container holds."""
     n = items.count()
     shards = max(1, -(-n // SHARD_ITEMS))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(shards)))
     grouped = dealt.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("key", "size"))).alias("items"))
-    grouped = cut(grouped)
     state = grouped.select("shard", F.explode(F.array(*(F.lit(i) for i in range(ISLANDS)))).alias("island"), F.transform("items", lambda x: x["size"]).alias("sizes"))
-    state = state.withColumn("population", F.array().cast("array<array<int>>")).withColumn("guest", F.lit(None).cast("array<int>"))
-    schema = "shard long, island int, sizes array<long>, population array<array<int>>, fitness double"
+    state = state.withColumn("population", F.array().cast("array<array<int>>"))
     parts = max(1, min(shards * ISLANDS, 4 * items.sparkSession.sparkContext.defaultParallelism))
     for epoch in range(EPOCHS):
-        run = state.repartition(parts, "shard", "island").mapInPandas(_epoch(capacity, epoch), schema)
-        state = cut(run)
-        if epoch + 1 < EPOCHS:
-            elite = state.select("shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.col("population")[0].alias("guest"))
-            state = state.drop("fitness").join(elite, ["shard", "island"])
-    best = state.groupBy("shard").agg(F.max_by(F.col("population")[0], F.struct("fitness", -F.col("island"))).alias("bins"))
-    placed = grouped.join(best, "shard").select("shard", F.explode(F.arrays_zip("items", "bins")).alias("z"))
-    return placed.select("z.items.key", "z.items.size", "shard", F.col("z.bins").alias("bin"))
+        state = state.repartition(parts, "shard", "island")
+        if epoch:
+            state = state.sortWithinPartitions("shard", "island", F.col("sizes").isNotNull())
+        state = state.mapInPandas(_epoch(capacity, epoch), _STATE)
+    best = state.groupBy("shard").agg(F.max_by(F.struct(F.col("population")[0].alias("bins"), "loads"), F.struct("fitness", -F.col("island"))).alias("best"))
+    placed = grouped.join(best, "shard").select("shard", "best.loads", F.explode(F.arrays_zip("items", "best.bins")).alias("z"))
+    return cut(placed.select("z.items.key", "z.items.size", "shard", F.col("z.bins").alias("bin"), F.col("loads")[F.col("z.bins")].alias("load")))
 
 
 def fill_report(packed: DataFrame, capacity: int) -> DataFrame:
@@ -184,11 +260,10 @@ def pack_items(items: DataFrame, id_col: str, size_col: str, capacity: int) -> D
     )
     pieces = cut(pieces.select(F.struct("id", "piece").alias("key"), F.when(F.col("piece") < F.col("full"), F.lit(capacity)).otherwise(F.col("whole") % capacity).cast("long").alias("size")))
     alone = pieces.where(F.col("size") == capacity).select("key", "size", F.concat(F.lit("f"), F.col("key.id").cast("string"), F.lit("."), F.col("key.piece")).alias("container"))
-    first = cut(_pack(pieces.where(F.col("size") < capacity), capacity, 1))
-    fill = first.groupBy("shard", "bin").agg((F.sum("size") / capacity).alias("fill"))
-    judged = cut(first.join(fill, ["shard", "bin"]))
-    good = judged.where(F.col("fill") >= WELL_FILLED).select("key", "size", F.concat(F.lit("a"), F.col("shard"), F.lit("."), F.col("bin")).alias("container"))
-    again = _pack(judged.where(F.col("fill") < WELL_FILLED).select("key", "size"), capacity, 2)
+    first = _pack(pieces.where(F.col("size") < capacity), capacity, 1)
+    filled = F.col("load") / capacity >= WELL_FILLED
+    good = first.where(filled).select("key", "size", F.concat(F.lit("a"), F.col("shard"), F.lit("."), F.col("bin")).alias("container"))
+    again = _pack(first.where(~filled).select("key", "size"), capacity, 2)
     again = again.select("key", "size", F.concat(F.lit("b"), F.col("shard"), F.lit("."), F.col("bin")).alias("container"))
     out = alone.unionByName(good).unionByName(again)
     return out.select(F.col("key.id").alias(id_col), F.col("key.piece").alias("piece"), "size", "container")

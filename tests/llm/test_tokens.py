@@ -63,6 +63,28 @@ def test_tables(spark):
     assert B.token_ids(df.limit(0)).count() == 0
 
 
+def test_counts_of_all_texts_at_once():
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    signs = "abest'sR09  \n\t\x1c\x85\xa0é中😀٠²-_."
+    texts = [None, "", " ", "a", " a", "a ", "a  b", "a \nb", "a\n b", "\n", "it 's", *("".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(3000))]
+    bpe = B.encoder()
+    assert bpe.count_all(pa.array(texts)).tolist() == [len(bpe.encode(t)) for t in texts] == [len(merged(bpe, t or "")) for t in texts]
+    assert bpe.count_all(pa.array(texts).slice(7, 50)).tolist() == [len(bpe.encode(t)) for t in texts[7:57]]
+    assert bpe.count_all(pa.array([], pa.string())).tolist() == []
+
+
+def test_equal_parts_of_texts_are_counted_once(monkeypatch):
+    import pyarrow as pa
+
+    bpe, seen = B.encoder(), []
+    monkeypatch.setattr(bpe, "words", lambda text, words=bpe.words: seen.append(text) or words(text))
+    texts = [" ".join(["pose", *random.Random(i).choices(["quxolant", "vrimble", "tofset"], k=200)]) for i in range(100)]
+    assert bpe.count_all(pa.array(texts)).tolist() == [sum(len(bpe.piece(w)) for w in bpe.pattern.findall(t)) for t in texts]
+    assert len(seen) <= 4 + 1  # " pose" and "pose"
+
+
 # ------------------------------------------------------------------ packing
 def test_genetic_steps_keep_every_item():
     rng = random.Random(1)
@@ -120,6 +142,27 @@ def test_evolution_beats_best_fit_where_that_is_not_optimal():
     assert sorted(i for b in best for i in b) == list(range(60)) and max(sum(sizes[i] for i in b) for b in best) <= cap
 
 
+def test_a_population_at_the_lower_bound_keeps_its_best_member_only():
+    sizes = [60, 40, 50, 50, 30, 70, 10, 90]
+    rested = P.evolve(sizes, 100, [], random.Random(1), 3)
+    assert len(rested) == 1 and len(rested[0]) == 4 == P.lower_bound(sizes, 100)
+
+
+def test_epochs_and_migrations_are_one_run(spark, monkeypatch):
+    rng, cuts = random.Random(7), []
+    items = spark.createDataFrame([(i, rng.randint(1, 99)) for i in range(200)], "key long, size long")
+    monkeypatch.setattr(P, "SHARD_ITEMS", 60)
+    monkeypatch.setattr(P, "cut", lambda df, cut=P.cut: cuts.append(df) or cut(df))
+    packed = P._pack(items, 100, 1)
+    assert len(cuts) == 1  # no table between the epochs
+    rows = packed.collect()
+    assert sorted(r.key for r in rows) == list(range(200))
+    held = defaultdict(int)
+    for r in rows:
+        held[r.shard, r.bin] += r["size"]
+    assert all(held[r.shard, r.bin] == r.load <= 100 for r in rows)
+
+
 def test_fill_report(spark):
     df = spark.createDataFrame([("a", 6), ("a", 4), ("b", 5)], "container string, size long")
     assert P.fill_report(df, 10).first()[:] == (3, 2, 2, 0.75)
