@@ -112,6 +112,29 @@ def test_not_stuffed(name):
     assert share < S.SHARE or n < S.LEAST_CHARS
 
 
+def test_sentences_are_judged_until_the_share_is_out_of_reach(monkeypatch):
+    judged = []
+    monkeypatch.setattr(S, "_structure", lambda text, structure=S._structure: judged.append(text) or structure(text))
+    prose = " ".join(f"In week {i} the {w} group moved its {w} samples to another cold room of the institute." for i, w in enumerate("alpha beta gamma delta kappa omega sigma theta lambda epsilon".split()))
+    assert S.stuffed_share(prose, S.SHARE) == (0.0, 0) and len(judged) == 6  # of ten: the longest six are more than 0.6 of the page
+    assert S.stuffed_share(prose)[0] == 0.0
+
+
+@pytest.mark.parametrize("name", [*SPAM, *FINE])
+def test_the_bound_changes_no_verdict(name):
+    for text in ({**SPAM, **FINE}[name], PROSE + {**SPAM, **FINE}[name], PROSE * 7 + "\n" + {**SPAM, **FINE}[name]):
+        share, n = S.stuffed_share(text)
+        for least in (0.1, S.SHARE, 0.9):
+            assert S.stuffed_share(text, least) in [(share, n), (0.0, 0)][: 1 + (share < least)]
+
+
+def test_ascii_signs_and_words_are_those_of_any_text():
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choices("abez'_09  \t,;:>/|-+*~().#!?", k=rng.randint(0, 40)))
+        assert S._signs(text) == len(S._SIGNS.findall(text)) and S._ASCII_WORDS.findall(text) == S._WORDS.findall(text)
+
+
 def test_tables(spark):
     rows = [(1, SPAM["keywords"], "c"), (2, PROSE, "c"), (3, None, "c"), (4, "", "c"), (5, " \n\t", "c"), (6, SPAM["keywords"], "c"), (7, SPAM["links"] * 300, "c"), (8, "x" * 200_000, "c"), (None, SPAM["tags"], "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, share string")
